@@ -2,9 +2,10 @@ from tidewatch.functions.columns import (
     contains_pattern,
     exact_total,
     iso_utc,
+    json_with,
     plain_number,
     to_millis,
     tumbling,
 )
 
-__all__ = ["contains_pattern", "exact_total", "iso_utc", "plain_number", "to_millis", "tumbling"]
+__all__ = ["contains_pattern", "exact_total", "iso_utc", "json_with", "plain_number", "to_millis", "tumbling"]

@@ -45,3 +45,9 @@ def contains_pattern(keyword: str) -> str:
     r"""LIKE pattern for "contains". ``%`` and ``_`` in the keyword stay wildcards; a stray ``\`` is literal."""
     escaped = re.sub(r"\\([%_\\]?)", lambda m: "\\" + (m.group(1) or "\\"), keyword)
     return f"%{escaped}%"
+
+
+def json_with(json: Column, *members: Column) -> Column:
+    """A JSON object text with further members, each given as ``"name":value`` text."""
+    opened = F.substring(json, F.lit(1), F.length(json) - 1)
+    return F.concat(opened, F.lit(","), F.concat_ws(",", *members), F.lit("}"))

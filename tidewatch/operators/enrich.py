@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions import iso_utc, to_millis
+from tidewatch.functions import iso_utc, json_with, to_millis
 from tidewatch.schemas import FIELD_DEFAULTS
 
 
@@ -100,9 +100,9 @@ def snapshot_messages(users: DataFrame) -> DataFrame:
 
 
 def tagged_messages(messages: DataFrame) -> DataFrame:
-    """Messages (topic, value) of several topics as one feed of ``{"topic": ..., "data": ...}``. Text that is
-    not JSON gets no data."""
-    return messages.select(
-        "topic",
-        F.to_json(F.struct("topic", F.try_parse_json("value").alias("data"))).alias("value"),
-    )
+    """Messages (topic, value) of several topics as one feed of ``{"topic": ..., "data": ...}``. The text of
+    the data is kept as it is; text that is not JSON gets no data."""
+    topic = F.to_json(F.struct("topic"))
+    is_json = F.try_parse_json("value").isNotNull()
+    data = F.concat(F.lit('"data":'), "value")
+    return messages.select("topic", F.when(is_json, json_with(topic, data)).otherwise(topic).alias("value"))

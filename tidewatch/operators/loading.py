@@ -70,13 +70,14 @@ def check_facts(
     nulls = [F.when(F.col(f"no_{n}"), F.lit(f"{n} is null")) for n in TRANSACTIONS.required]
     checked = checked.withColumn("reason", F.coalesce(*nulls, *missing)).select(*facts.columns, "reason")
 
-    winners = (
-        checked.where("reason IS NULL")
-        .groupBy("transaction_id")
-        .agg(F.min(order).alias(order))
-        .join(existing.select("transaction_id"), "transaction_id", "left_anti")
-        .withColumn("wins", F.lit(True))
+    first = checked.where("reason IS NULL").groupBy("transaction_id").agg(F.min(order).alias(order))
+    # The stored table is filtered by the ids of this load, which is the smaller side.
+    taken = (
+        existing.select("transaction_id")
+        .join(first.select("transaction_id"), "transaction_id", "left_semi")
+        .distinct()
     )
+    winners = first.join(taken, "transaction_id", "left_anti").withColumn("wins", F.lit(True))
     return checked.join(winners, ["transaction_id", order], "left").select(
         *facts.columns,
         F.coalesce(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch import schemas as S
+from tidewatch.functions import json_with
 from tidewatch.operators import detectors, enrich, loading, quality, reports, stats
 from tidewatch.operators.alerts import alert_rows
 from tidewatch.operators.parse import good_events, parse, rejected_events
@@ -209,9 +210,8 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "error", F.lit('"none"'))
         .otherwise(amount)
     )
-    extra = F.when(kind == "click", F.lit(',"category":null')).otherwise(F.lit(""))
-    text = F.concat(F.expr("left({0}, length({0}) - 1)".format("body")), F.lit(',"amount":'), amount_text, extra, F.lit("}"))
-    return e.withColumn("body", as_json).select(text.alias("value"), "seq")
+    members = F.concat(F.lit('"amount":'), amount_text), F.when(kind == "click", F.lit('"category":null'))
+    return e.select(json_with(as_json, *members).alias("value"), "seq")
 
 
 @register(
@@ -588,21 +588,21 @@ def category_messages_query(spark, folder):
 
 @register(
     "result_feed",
-    f"""WITH {EV}, {SHARED}
-SELECT '{{"topic":"alarm_events","data":{{"alert_time":"' || strftime(epoch_ms(w + 3600000), '%Y-%m-%dT%H:%M:%S+00:00')
-  || '","alert_type":"FAILED_SURGE","details":"' || n || ' failed transactions in last 3600s","transaction_count":'
-  || n || ',"user_id":"GLOBAL","window_end":"' || strftime(epoch_ms(w + 3600000), '%Y-%m-%dT%H:%M:%S+00:00')
-  || '","window_start":"' || strftime(epoch_ms(w), '%Y-%m-%dT%H:%M:%S+00:00') || '"}}}}' AS value
+    f"""WITH {EV}, {STATS}
+SELECT '{{"topic":"alarm_events","data":{{"alert_type":"FAILED_SURGE","user_id":"GLOBAL","transaction_count":' || n
+  || ',"window_start":"' || strftime(epoch_ms(w), '%Y-%m-%dT%H:%M:%S+00:00')
+  || '","window_end":"' || strftime(epoch_ms(w + 3600000), '%Y-%m-%dT%H:%M:%S+00:00')
+  || '","alert_time":"' || strftime(epoch_ms(w + 3600000), '%Y-%m-%dT%H:%M:%S+00:00')
+  || '","details":"' || n || ' failed transactions in last 3600s"}}}}' AS value
 FROM (SELECT t - t % 3600000 AS w, count(*) AS n FROM ev WHERE result = 'failed' GROUP BY 1) WHERE n >= 5
 UNION ALL
-SELECT '{{"topic":"window_count_and_amount_events","data":{{"total_amount":'
-  || regexp_replace(CAST(sum(CAST(amount AS DECIMAL(18,2))) AS VARCHAR), '(\\.[0-9]*?)0+$', '\\1')
-  || ',"transaction_count":' || count(*) || ',"window_end":' || (t - t % 5000 + 5000)
-  || ',"window_start":' || (t - t % 5000) || '}}}}' AS value
-FROM ev GROUP BY t - t % 5000""",
+SELECT '{{"topic":"window_count_and_amount_events","data":{{"window_start":' || epoch_ms(window_start)
+  || ',"window_end":' || epoch_ms(window_end) || ',"total_amount":' || CAST(total_amount AS VARCHAR)
+  || ',"transaction_count":' || transaction_count || '}}}}' AS value
+FROM stats WHERE is_total""",
 )
 def result_feed_query(spark, folder):
-    """Fields come out in name order: the data of a message is parsed and written anew."""
+    """Messages of two topics as one feed."""
     e = star.events(spark, folder)
     surges = enrich.alert_messages(detectors.failed_surge(e, SAMPLE))
     totals = enrich.stats_messages(stats.window_totals(e))
