@@ -20,9 +20,12 @@ from tidewatch.operators import detectors, enrich, loading, quality, reports, st
 from tidewatch.operators.alerts import alert_rows
 from tidewatch.operators.parse import good_events, parse, rejected_events
 from tidewatch.plans.batch import all_alerts
-from tidewatch.session import configure
+from tidewatch.session import configure, new_folder
 from tidewatch.settings import RiskSettings
+from tidewatch.sinks.tables import write_batches
 from tidewatch.sources import star
+from tidewatch.sources.files import replay_table
+from tidewatch.streaming.jobs import RESULTS, start, watermarked
 
 HOUR = 3600
 SAMPLE = RiskSettings(
@@ -761,3 +764,95 @@ def outside_domain_query(spark, folder):
     """Market segments where an account type is expected."""
     rows = star.users(spark, folder).withColumn("account_type", F.col("device"))
     return quality.outside_domain(rows, "account_type", S.DOMAINS["users"]["account_type"])
+
+
+# --- streams: the whole events table replayed -------------------------------------------------------
+
+# A window is out once the watermark, two seconds behind the newest event, has passed its end.
+CLOSED = "(SELECT epoch_ms(max(t) - 2000) FROM ev)"
+
+
+def replay(spark: SparkSession, folder: str, name: str, settings: RiskSettings) -> DataFrame:
+    """Run one streaming result over all events there are, and read what it wrote."""
+    result = RESULTS[name]
+    out = new_folder(spark, f"replay-{name}")
+    # State keeps its number of partitions for good, so it is set for the cluster and not left to a default.
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    try:
+        events = watermarked(star.adapt_events(replay_table(spark, folder, "events.parquet")), settings)
+        start(
+            result.build(events, settings),
+            write_batches(f"{out}/rows", "replay"),
+            f"{out}/checkpoint",
+            result.output_mode,
+            {"availableNow": True},
+        ).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    return spark.read.parquet(f"{out}/rows").drop("run", "batch_id")
+
+
+@register("stream_large_amount", f"WITH {EV} {LARGE_SQL.format(source='ev', limit='200.0')}")
+def stream_large_amount_query(spark, folder):
+    return replay(spark, folder, "large_amount", SAMPLE)
+
+
+@register("stream_high_frequency", f"WITH {EV}, {DAY_BURSTS} {DAY_BURST_SQL}")
+def stream_high_frequency_query(spark, folder):
+    return replay(spark, folder, "high_frequency", SAMPLE)
+
+
+@register("stream_continuous_increase", f"WITH {EV}, {RUNS} {GROWTH_SQL}")
+def stream_continuous_increase_query(spark, folder):
+    return replay(spark, folder, "continuous_increase", SAMPLE)
+
+
+@register(
+    "stream_failed_surge",
+    f"WITH {EV}, alerts AS ({SURGE_SQL}) SELECT * FROM alerts WHERE window_end <= {CLOSED}",
+)
+def stream_failed_surge_query(spark, folder):
+    return replay(spark, folder, "failed_surge", SAMPLE)
+
+
+@register(
+    "stream_ip_sharing",
+    f"WITH {EV}, {SHARED}, alerts AS ({SHARED_SQL}) SELECT * FROM alerts WHERE window_end <= {CLOSED}",
+)
+def stream_ip_sharing_query(spark, folder):
+    return replay(spark, folder, "ip_sharing", SAMPLE)
+
+
+@register("stream_running_totals", f"WITH {EV} SELECT {TOTALS} FROM ev")
+def stream_running_totals_query(spark, folder):
+    return replay(spark, folder, "running_totals", SAMPLE).distinct()
+
+
+@register(
+    "stream_window_totals",
+    f"""WITH {EV}, {STATS} SELECT window_start, window_end, total_amount, transaction_count FROM stats
+WHERE is_total AND window_end <= {CLOSED}""",
+)
+def stream_window_totals_query(spark, folder):
+    return replay(spark, folder, "window_totals", SAMPLE)
+
+
+@register(
+    "stream_category_totals",
+    f"""WITH {EV}, {STATS} SELECT window_start, window_end, category, total_amount, transaction_count FROM stats
+WHERE NOT is_total AND window_end <= {CLOSED}""",
+)
+def stream_category_totals_query(spark, folder):
+    return replay(spark, folder, "category_totals", SAMPLE)
+
+
+@register(
+    "stream_product_totals",
+    f"""WITH {EV}
+SELECT epoch_ms(t - t % 3600000) AS window_start, epoch_ms(t - t % 3600000 + 3600000) AS window_end,
+  product_name, first(category ORDER BY t, seq) AS category, {TOTALS}
+FROM ev GROUP BY t - t % 3600000, product_name HAVING window_end <= {CLOSED}""",
+)
+def stream_product_totals_query(spark, folder):
+    return replay(spark, folder, "product_totals", RiskSettings(stats_window_seconds=HOUR))

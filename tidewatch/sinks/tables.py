@@ -56,7 +56,7 @@ def read_stats(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact_stats(spark: SparkSession, path: str, target: str) -> None:
-    """The present rows as a new table in days, which a job can read without merging or go on writing to."""
+    """The present rows as a new table of the same layout, which later batches can go on writing to."""
     rows = read_stats(spark, path).withColumn("written_at", F.current_timestamp())
     rows.write.mode("overwrite").parquet(f"{target}/run=compacted/batch_id=0")
 
