@@ -37,62 +37,59 @@ def insert_ignore(rows: DataFrame, existing: DataFrame, spec: TableSpec, order:
     )
 
 
-def check_facts(
-    facts: DataFrame,
-    users: DataFrame,
-    products: DataFrame,
-    categories: DataFrame,
-    existing: DataFrame,
-    order: str = "seq",
+def check_references(
+    facts: DataFrame, users: DataFrame, products: DataFrame, categories: DataFrame
 ) -> DataFrame:
-    """All facts with a ``reject_reason``, null for those to insert.
+    """Facts with a ``reason`` where a required column is null or a reference leads nowhere.
 
-    As if inserted one by one in ``order``: a row that breaks a constraint is skipped, so the first sound row
-    of a transaction id wins. ``order`` is unique among the rows of one transaction id. References are looked
-    up in the distinct keys of each dimension. The winner of an id is found by a partial aggregate and joined
-    back on id and order, which no two rows share, so copies of one id do not meet in one task.
+    The distinct keys of each dimension are joined; how is left to their measured size.
     """
-    checked = facts
-    for name in TRANSACTIONS.required:
-        checked = checked.withColumn(f"no_{name}", F.col(name).isNull())
     dimensions = {"users": users, "products": products, "categories": categories}
-    missing = []
+    reasons = [F.when(F.col(n).isNull(), F.lit(f"{n} is null")) for n in TRANSACTIONS.required]
+    checked = facts.withColumn("reason", F.coalesce(*reasons))
     for reference in TRANSACTIONS.foreign_keys:
-        known = f"known_{reference.column}"
         keys = dimensions[reference.table].select(reference.column).distinct()
-        checked = checked.join(keys.withColumn(known, F.lit(True)), reference.column, "left")
-        missing.append(
-            F.when(
-                F.col(reference.column).isNotNull() & F.col(known).isNull(),
-                F.lit(f"no such {reference.column}"),
-            )
-        )
-    nulls = [F.when(F.col(f"no_{n}"), F.lit(f"{n} is null")) for n in TRANSACTIONS.required]
-    checked = checked.withColumn("reason", F.coalesce(*nulls, *missing)).select(*facts.columns, "reason")
-
-    first = checked.where("reason IS NULL").groupBy("transaction_id").agg(F.min(order).alias(order))
-    # The stored table is filtered by the ids of this load, which is the smaller side.
-    taken = (
-        existing.select("transaction_id")
-        .join(first.select("transaction_id"), "transaction_id", "left_semi")
-        .distinct()
-    )
-    winners = first.join(taken, "transaction_id", "left_anti").withColumn("wins", F.lit(True))
-    return checked.join(winners, ["transaction_id", order], "left").select(
-        *facts.columns,
-        F.coalesce(
-            "reason", F.when(F.col("wins").isNull(), F.lit("duplicate transaction_id"))
-        ).alias("reject_reason"),
-    )
-
+        checked = checked.join(keys.withColumn("known", F.lit(True)), reference.column, "left")
+        lost = F.col(reference.column).isNotNull() & F.col("known").isNull()
+        missing = F.when(lost, F.lit(f"no such {reference.column}"))
+        checked = checked.withColumn("reason", F.coalesce("reason", missing)).drop("known")
+    return checked.select(*facts.columns, "reason")
 
-def accepted_facts(checked: DataFrame) -> DataFrame:
-    """The sound rows in the columns of ``transactions``."""
-    return with_defaults(checked.where("reject_reason IS NULL"), TRANSACTIONS)
 
+def accepted_facts(checked: DataFrame, existing: DataFrame, order: str = "seq") -> DataFrame:
+    """The rows to insert, in the columns of ``transactions``.
 
-def rejected_facts(checked: DataFrame) -> DataFrame:
-    return checked.where("reject_reason IS NOT NULL")
+    As if inserted one by one in ``order``, skipping what breaks a constraint: the first sound row of each
+    transaction id that is not stored yet. It is found by a partial aggregate, so copies of one id are one
+    row per task before they meet.
+    """
+    first = F.min_by(F.struct(*[c for c in checked.columns if c not in ("transaction_id", order)]), order)
+    rows = (
+        checked.where("reason IS NULL")
+        .groupBy("transaction_id")
+        .agg(first.alias("row"))
+        .select("transaction_id", "row.*")
+        .join(existing.select("transaction_id"), "transaction_id", "left_anti")
+    )
+    return with_defaults(rows, TRANSACTIONS)
+
+
+def rejected_facts(checked: DataFrame, existing: DataFrame, order: str = "seq") -> DataFrame:
+    """The rows left out, each with its ``reason``. ``order`` is unique among the rows of one id, so the join
+    that finds the winners has no two rows of a kind on either side, however many copies an id has."""
+    winners = (
+        checked.where("reason IS NULL")
+        .groupBy("transaction_id")
+        .agg(F.min(order).alias(order))
+        .join(existing.select("transaction_id"), "transaction_id", "left_anti")
+        .withColumn("wins", F.lit(True))
+    )
+    return (
+        checked.join(winners, ["transaction_id", order], "left")
+        .where(F.col("reason").isNotNull() | F.col("wins").isNull())
+        .select(*checked.columns)
+        .withColumn("reason", F.coalesce("reason", F.lit("duplicate transaction_id")))
+    )
 
 
 def merge_latest(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -45,7 +45,10 @@ def parse(raw: DataFrame, value: str = "value", seq: Column | None = None) -> Da
         "event_time": F.timestamp_millis(F.when(in_range, millis)),
         "seq": F.lit(None).cast("bigint") if seq is None else seq.cast("bigint"),
     }
-    return raw.withColumn("fields", F.from_json(value, "map<string,string>")).select(
+    # As a generator the parsing is done once per row; as a plain column the optimizer would repeat it in
+    # every expression, filters included.
+    read = F.explode(F.array(F.from_json(value, "map<string,string>")))
+    return raw.withColumn("fields", read).select(
         *[columns[f.name].alias(f.name) for f in EVENT_SCHEMA.fields],
         F.col(value).alias("value"),
         error.alias("error"),

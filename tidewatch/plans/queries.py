@@ -622,11 +622,7 @@ LINE_FACTS = f"""facts AS (
          CAST(l_extendedprice AS DECIMAL(12,2)) AS amount,
          CASE WHEN l_returnflag = 'R' THEN 'refund' ELSE 'purchase' END AS transaction_type,
          CASE WHEN l_linestatus = 'O' THEN 'processing' ELSE 'success' END AS result,
-         l_shipdate AS event_time,
-         lpad(CAST(l_linenumber AS VARCHAR), 12, '0') || '-' || lpad(CAST(l_partkey AS VARCHAR), 12, '0') || '-'
-           || lpad(CAST(l_suppkey AS VARCHAR), 12, '0') || '-'
-           || lpad(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR), 15, '0') || '-'
-           || strftime(l_shipdate, '%Y%m%d') AS seq
+         l_shipdate AS event_time, l_linenumber, l_partkey, l_suppkey
   FROM lineitem LEFT JOIN part ON p_partkey = l_partkey
 ), {SOLVENT}, stored AS (
   SELECT 'txn_' || o_orderkey AS transaction_id FROM orders WHERE o_orderstatus = 'P'
@@ -635,43 +631,48 @@ LINE_FACTS = f"""facts AS (
   FROM facts LEFT JOIN solvent ON solvent.user_id = facts.user_id
 ), checked AS (
   SELECT reasons.* EXCLUDE (reason), coalesce(reason, CASE WHEN stored.transaction_id IS NOT NULL OR
-      row_number() OVER (PARTITION BY reasons.transaction_id, reason ORDER BY seq) > 1
-    THEN 'duplicate transaction_id' END) AS reject_reason
+      row_number() OVER (PARTITION BY reasons.transaction_id, reason
+                   ORDER BY l_linenumber, l_partkey, l_suppkey, amount, event_time) > 1
+    THEN 'duplicate transaction_id' END) AS reason
   FROM reasons LEFT JOIN stored ON stored.transaction_id = reasons.transaction_id
 )"""
 
 
 def checked_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items into a table that holds the orders in progress already."""
-    orders = spark.read.parquet(f"{folder}/orders.parquet").where("o_orderstatus = 'P'")
-    stored = orders.select(F.concat(F.lit("txn_"), F.col("o_orderkey").cast("string")).alias("transaction_id"))
-    return loading.check_facts(
+    return loading.check_references(
         star.line_facts(spark, folder),
         solvent_users(spark, folder),
         star.products(spark, folder),
         star.categories(spark, folder),
-        stored,
     )
 
 
+def stored_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact table before the load holds the orders in progress."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet").where("o_orderstatus = 'P'")
+    return orders.select(F.concat(F.lit("txn_"), F.col("o_orderkey").cast("string")).alias("transaction_id"))
+
+
 @register(
     "load_facts",
     f"""WITH {LINE_FACTS}
 SELECT transaction_id, user_id, product_id, category, CAST(amount AS DOUBLE) AS amount, transaction_type,
-  result, event_time FROM checked WHERE reject_reason IS NULL""",
+  result, event_time FROM checked WHERE reason IS NULL""",
 )
 def load_facts_query(spark, folder):
-    return loading.accepted_facts(checked_lines(spark, folder)).drop("process_time")
+    checked = checked_lines(spark, folder)
+    return loading.accepted_facts(checked, stored_orders(spark, folder)).drop("process_time")
 
 
 @register(
     "rejected_facts",
     f"""WITH {LINE_FACTS}
 SELECT transaction_id, user_id, product_id, category, CAST(amount AS DOUBLE) AS amount, transaction_type,
-  result, event_time, seq, reject_reason FROM checked WHERE reject_reason IS NOT NULL""",
+  result, event_time, reason FROM checked WHERE reason IS NOT NULL""",
 )
 def rejected_facts_query(spark, folder):
-    return loading.rejected_facts(checked_lines(spark, folder))
+    checked = checked_lines(spark, folder)
+    return loading.rejected_facts(checked, stored_orders(spark, folder)).drop("seq")
 
 
 @register(

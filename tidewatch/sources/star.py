@@ -102,19 +102,11 @@ def categories(spark: SparkSession, folder: str) -> DataFrame:
 
 def line_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as facts to load. The transaction id is the order, so orders with several lines repeat it;
-    the category is the product's type. ``seq`` runs through the lines of an order."""
+    the category is the product's type. ``seq`` orders the lines of an order."""
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     types = products(spark, folder).select("product_id", "category")
     priced = F.col("l_extendedprice").cast("decimal(12,2)")
-    seq = F.concat_ws(
-        "-",
-        *[
-            F.lpad(F.col(c).cast("string"), 12, "0")
-            for c in ("l_linenumber", "l_partkey", "l_suppkey")
-        ],
-        F.lpad(priced.cast("string"), 15, "0"),
-        F.date_format("l_shipdate", "yyyyMMdd"),
-    )
+    seq = F.struct("l_linenumber", "l_partkey", "l_suppkey", priced.alias("price"), "l_shipdate")
     return lines.select(
         _key("txn_", "l_orderkey").alias("transaction_id"),
         _key("user_", "l_suppkey").alias("user_id"),
