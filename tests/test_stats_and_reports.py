@@ -34,7 +34,7 @@ def test_window_edges_and_levels(spark):
 
 
 def test_product_takes_first_category_that_is_not_empty(spark):
-    rows = [event(ms=2, seq=2, category="late"), event(ms=0, seq=0, category=""), event(ms=1, seq=1, category="x")]
+    rows = [event(ms=1, seq=2, category="late"), event(ms=0, seq=0, category=""), event(ms=1, seq=1, category="x")]
     rows += [event(ms=0, seq=5, category="", product="Q"), event(ms=0, seq=6, category=None, product="Q")]
     found = {r.product_name: r.category for r in stats.product_totals(frame(spark, rows)).collect()}
     assert found == {"P": "x", "Q": ""}

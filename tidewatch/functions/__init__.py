@@ -1,6 +1,8 @@
 from tidewatch.functions.columns import (
+    cents,
     contains_pattern,
     exact_total,
+    from_cents,
     iso_utc,
     json_with,
     plain_number,
@@ -8,4 +10,14 @@ from tidewatch.functions.columns import (
     tumbling,
 )
 
-__all__ = ["contains_pattern", "exact_total", "iso_utc", "json_with", "plain_number", "to_millis", "tumbling"]
+__all__ = [
+    "cents",
+    "contains_pattern",
+    "exact_total",
+    "from_cents",
+    "iso_utc",
+    "json_with",
+    "plain_number",
+    "to_millis",
+    "tumbling",
+]

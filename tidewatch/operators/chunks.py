@@ -20,4 +20,4 @@ def ordered_chunks(df: DataFrame, *order: str, chunks: int | None = None) -> Dat
     numbered = df.withColumn("copy", F.monotonically_increasing_id())
     by = (*order, "copy")
     ranged = numbered.repartitionByRange(chunks, *by) if chunks else numbered.repartitionByRange(*by)
-    return durable(ranged.drop("copy").withColumn("chunk", F.spark_partition_id()))
+    return durable(ranged.drop("copy").withColumn("chunk", F.spark_partition_id()), "chunks")

@@ -280,14 +280,13 @@ def continuous_increase(
 
 def _crossing(rows: DataFrame) -> DataFrame:
     """Rows of the users whose events lie in more than one chunk."""
-    # One row per chunk, so neither the window nor the broadcast grows with the data.
-    borders = rows.groupBy("chunk").agg(F.min("user_id").alias("low"), F.max("user_id").alias("high"))
     crossing = (
-        borders.withColumn("previous", F.lag("high").over(W.orderBy("chunk")))
-        .where("previous = low")
-        .select(F.col("low").alias("user_id"))
-        .distinct()
+        rows.groupBy("user_id")
+        .agg(F.min("chunk").alias("first"), F.max("chunk").alias("last"))
+        .where("first < last")
+        .select("user_id")
     )
+    # Chunks are ranges of users, so no more than one user crosses each border between two of them.
     return rows.join(F.broadcast(crossing), "user_id", "left_semi")
 
 

@@ -177,10 +177,12 @@ def recent_trend(stats: DataFrame, windows: int = 60) -> DataFrame:
 
 def latest_by_category(stats: DataFrame) -> DataFrame:
     """Total and count of each category's newest window."""
-    newest = F.max_by(F.struct("total_amount", "transaction_count"), "window_start")
     return (
         stats.where(F.col("category") != ALL_CATEGORIES)
         .groupBy("category")
-        .agg(F.max("window_start").alias("window_start"), newest.alias("newest"))
-        .select("category", "window_start", "newest.total_amount", "newest.transaction_count")
+        .agg(
+            F.max("window_start").alias("window_start"),
+            F.max_by("total_amount", "window_start").alias("total_amount"),
+            F.max_by("transaction_count", "window_start").alias("transaction_count"),
+        )
     )

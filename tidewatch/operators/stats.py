@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
-from tidewatch.functions import exact_total, tumbling
+from tidewatch.functions import cents, exact_total, from_cents, tumbling
 from tidewatch.operators.chunks import ordered_chunks
 from tidewatch.settings import DEFAULTS, RiskSettings
 
@@ -70,12 +70,31 @@ def stats_rows(stats: DataFrame) -> DataFrame:
 
 
 def product_totals(events: DataFrame, settings: RiskSettings = DEFAULTS) -> DataFrame:
-    """Total and count per window and product name, with the first category seen that is not empty."""
+    """Total and count per window and product name, with the first category seen that is not empty: first to
+    arrive by ``seq``, and without one first in time.
+
+    Categories are added up on their own first. That step carries numbers only, which keeps it a hash
+    aggregation; finding the first among the few categories of a product then has little to sort.
+    """
+    by_category = events.groupBy(
+        tumbling(settings.stats_window_seconds).alias("window"), "product_name", "category"
+    ).agg(
+        F.sum(cents("amount")).alias("cents"),
+        F.count("*").alias("events"),
+        F.min("seq").alias("arrival"),
+        F.min("timestamp").alias("time"),
+    )
     named = F.col("category") != ""
-    first = F.min_by(F.when(named, F.col("category")), F.when(named, F.struct(*S.EVENT_ORDER)))
+    first = F.min_by(
+        F.when(named, F.col("category")), F.when(named, F.struct("arrival", "time", "category"))
+    )
     return (
-        events.groupBy(tumbling(settings.stats_window_seconds).alias("window"), "product_name")
-        .agg(F.coalesce(first, F.lit("")).alias("category"), *_totals())
+        by_category.groupBy("window", "product_name")
+        .agg(
+            F.coalesce(first, F.lit("")).alias("category"),
+            from_cents(F.sum("cents")).alias("total_amount"),
+            F.sum("events").alias("transaction_count"),
+        )
         .selectExpr(*_WINDOW, "product_name", "category", "total_amount", "transaction_count")
     )
 
@@ -92,31 +111,29 @@ def running_totals(events: DataFrame, chunks: int | None = None) -> DataFrame:
     A window over all events would run in one task. Here each chunk of the time line keeps its own running
     sum and adds the sum of the chunks before it, one row per chunk.
     """
-    order = (*S.EVENT_ORDER, "amount")
+    order = (*S.EVENT_ORDER, "cents")
     rows = ordered_chunks(
-        events.select(*S.EVENT_ORDER, F.col("amount").cast("decimal(18,2)").alias("amount")),
-        *order,
-        chunks=chunks,
+        events.select(*S.EVENT_ORDER, cents("amount").alias("cents")), *order, chunks=chunks
     )
     earlier = W.orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         rows.groupBy("chunk")
-        .agg(F.sum("amount").alias("amount"), F.count("*").alias("events"))
+        .agg(F.sum("cents").alias("cents"), F.count("*").alias("events"))
         .select(
             "chunk",
-            F.coalesce(F.sum("amount").over(earlier), F.lit(0)).alias("amount_before"),
+            F.coalesce(F.sum("cents").over(earlier), F.lit(0)).alias("cents_before"),
             F.coalesce(F.sum("events").over(earlier), F.lit(0)).alias("events_before"),
         )
     )
     so_far = W.partitionBy("chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
-        rows.withColumn("running_amount", F.sum("amount").over(so_far))
+        rows.withColumn("running_cents", F.sum("cents").over(so_far))
         .withColumn("running_events", F.row_number().over(so_far))
         .join(F.broadcast(offsets), "chunk")  # one row per chunk
         .select(
             "transaction_id",
             "timestamp",
-            (F.col("amount_before") + F.col("running_amount")).cast("decimal(20,2)").alias("total_amount"),
+            from_cents(F.col("cents_before") + F.col("running_cents")).alias("total_amount"),
             (F.col("events_before") + F.col("running_events")).cast("bigint").alias("transaction_count"),
         )
     )

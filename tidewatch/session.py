@@ -43,7 +43,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there, so that a lost executor costs no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def durable(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and go on from there: its rows are fixed, a lost executor
+    costs no recomputation, and later readers take only the columns they need. The folder stays until the
+    cluster clears it."""
+    spark = df.sparkSession
+    folder = new_folder(spark, label)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

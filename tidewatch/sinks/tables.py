@@ -50,9 +50,8 @@ def read_stats(spark: SparkSession, path: str) -> DataFrame:
     """The present rows. A filter on window or category reaches the files, as both are keys here."""
     key = list(TRANSACTION_STATS.key)
     values = [c for c in TRANSACTION_STATS.schema.fieldNames() if c not in key]
-    newest = F.max_by(F.struct(*values), F.struct("written_at", "batch_id"))
-    stored = spark.read.parquet(path)
-    return stored.groupBy(*key).agg(newest.alias("row")).select(*key, *[f"row.{c}" for c in values])
+    newest = [F.max_by(c, "written_at").alias(c) for c in values]
+    return spark.read.parquet(path).groupBy(*key).agg(*newest)
 
 
 def compact_stats(spark: SparkSession, path: str, target: str) -> None:

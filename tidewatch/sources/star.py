@@ -23,7 +23,7 @@ def _key(prefix: str, column: str):
 
 def adapt_events(events: DataFrame) -> DataFrame:
     """Rows of ``events``, batch or stream, as transaction events. Needs a UTC session."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.regexp_extract("props", '"k": *([0-9]+)', 1).cast("int")
     millis = F.unix_millis(F.col("ts").cast("timestamp"))
     failed = F.col("event_type") == "error"
     columns = {
