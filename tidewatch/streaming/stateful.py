@@ -7,10 +7,12 @@ small: one row per millisecond of the window, or the last amounts.
 
 from __future__ import annotations
 
+import sys
 from bisect import insort
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -18,11 +20,22 @@ from tidewatch.operators.detectors import burst_alerts, growth_alerts
 from tidewatch.schemas import EVENT_ORDER
 from tidewatch.settings import DEFAULTS, RiskSettings
 
-_ARRIVAL = ["seq", "timestamp", "transaction_id"]
+# The processors travel to the Python workers as they are, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+def _arrivals(rows: Iterator[pd.DataFrame], *columns: str) -> list[tuple]:
+    """A user's rows of one batch in order of arrival, as (seq, timestamp, transaction_id, *columns).
 
-def _arrivals(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows)).sort_values(_ARRIVAL, na_position="first")
+    Plain tuples: most users have a handful of rows in a batch, where DataFrame operations cost more than
+    the work itself.
+    """
+    events = []
+    for chunk in rows:
+        seqs = (-1 if n is None or n != n else n for n in chunk["seq"].tolist())
+        ids = (i or "" for i in chunk["transaction_id"].tolist())
+        events.extend(zip(seqs, chunk["timestamp"].tolist(), ids, *(chunk[c].tolist() for c in columns)))
+    events.sort()
+    return events
 
 
 class Bursts(StatefulProcessor):
@@ -43,12 +56,13 @@ class Bursts(StatefulProcessor):
         self._recent = handle.getListState("recent", "timestamp bigint, arrivals bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrivals = dict(self._recent.get()) if self._recent.exists() else {}
+        arrivals = dict(self._recent.get())
         times = sorted(arrivals)
+        before = times[-1] if times else None
         in_window = sum(arrivals.values())
         oldest = 0  # position of the first time still in the window
         found = []
-        for at in _arrivals(rows)["timestamp"].tolist():
+        for _, at, _ in _arrivals(rows):
             while oldest < len(times) and times[oldest] <= at - self._window:
                 in_window -= arrivals.pop(times[oldest])
                 oldest += 1
@@ -62,10 +76,11 @@ class Bursts(StatefulProcessor):
                 found.append((key[0], at, in_window))
         kept = [(at, arrivals[at]) for at in times[oldest:]]
         self._recent.put(kept)
-        if self._forget:
-            for timer in list(self._handle.listTimers()):
-                self._handle.deleteTimer(timer)
-            self._handle.registerTimer(kept[-1][0] + self._window)
+        newest = kept[-1][0]
+        if self._forget and newest != before:  # one timer per user, at the end of the newest event's window
+            if before is not None:
+                self._handle.deleteTimer(before + self._window)
+            self._handle.registerTimer(newest + self._window)
         if found:
             yield pd.DataFrame(found, columns=["user_id", "timestamp", "transaction_count"])
 
@@ -88,15 +103,15 @@ class Growth(StatefulProcessor):
         self._run = handle.getListState("run", "amount double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        run = [row[0] for row in self._run.get()] if self._run.exists() else []
+        run = [row[0] for row in self._run.get()]
         found = []
-        for event in _arrivals(rows).itertuples(index=False):
-            if run and event.amount >= run[-1] * self._factor:
-                run.append(event.amount)
+        for _, at, transaction_id, amount in _arrivals(rows, "amount"):
+            if run and amount >= run[-1] * self._factor:
+                run.append(amount)
             else:
-                run = [event.amount]
+                run = [amount]
             if len(run) == self._length:
-                found.append((key[0], event.transaction_id, event.timestamp, event.amount, run))
+                found.append((key[0], transaction_id, at, amount, run))
                 run = []
         if run:
             self._run.put([(amount,) for amount in run])
