@@ -21,3 +21,12 @@ def ordered_chunks(df: DataFrame, *order: str, chunks: int | None = None) -> Dat
     by = (*order, "copy")
     ranged = numbered.repartitionByRange(chunks, *by) if chunks else numbered.repartitionByRange(*by)
     return durable(ranged.drop("copy").withColumn("chunk", F.spark_partition_id()), "chunks")
+
+
+def by_chunk(rows: DataFrame) -> DataFrame:
+    """Bring each chunk into a task of its own, for windows that are partitioned by ``chunk`` (and more).
+
+    The chunk number is the partition number. A hash of it would put several chunks into one task and none
+    into others. A written chunk is one file, so the files tell how many there are.
+    """
+    return rows.repartitionById(max(1, len(rows.inputFiles())), "chunk")

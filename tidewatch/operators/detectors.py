@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidewatch import schemas as S
 from tidewatch.functions import plain_number, tumbling
 from tidewatch.operators.alerts import as_alerts
-from tidewatch.operators.chunks import ordered_chunks
+from tidewatch.operators.chunks import by_chunk, ordered_chunks
 from tidewatch.settings import DEFAULTS, RiskSettings
 
 # Users of one address and window are gathered in this many parts, so that no task holds all of a busy one.
@@ -297,7 +297,8 @@ def _runs_in_chunk(rows: DataFrame, settings: RiskSettings) -> DataFrame:
     so_far = in_time.rowsBetween(W.unboundedPreceding, W.currentRow)
     earlier = [F.lag("amount", k).over(in_time) for k in range(settings.growth_length - 1, 0, -1)]
     return (
-        rows.withColumn("nth", F.row_number().over(in_time))
+        by_chunk(rows)
+        .withColumn("nth", F.row_number().over(in_time))
         .withColumn("previous", F.lag("amount").over(in_time))
         .withColumn("recent", F.array_compact(F.array(*earlier, "amount")))
         .withColumn(

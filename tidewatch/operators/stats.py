@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
 from tidewatch.functions import cents, exact_total, from_cents, tumbling
-from tidewatch.operators.chunks import ordered_chunks
+from tidewatch.operators.chunks import by_chunk, ordered_chunks
 from tidewatch.settings import DEFAULTS, RiskSettings
 
 _WINDOW = ("window.start AS window_start", "window.end AS window_end")
@@ -127,7 +127,8 @@ def running_totals(events: DataFrame, chunks: int | None = None) -> DataFrame:
     )
     so_far = W.partitionBy("chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
-        rows.withColumn("running_cents", F.sum("cents").over(so_far))
+        by_chunk(rows)
+        .withColumn("running_cents", F.sum("cents").over(so_far))
         .withColumn("running_events", F.row_number().over(so_far))
         .join(F.broadcast(offsets), "chunk")  # one row per chunk
         .select(
