@@ -65,7 +65,8 @@ def test_results_do_not_depend_on_the_pieces(events):
 def test_hot_address_is_gathered_in_parts(events):
     settings = RiskSettings(shared_ip_window_seconds=3600, shared_users_inline=10)
     whole = events.withColumn("ip_address", F.lit("0.0.0.0"))
-    parts = detectors._users_by_address(whole, settings).groupBy("part").agg(F.max(F.size("users")).alias("n"))
+    pairs = detectors._shared_pairs(whole, settings)
+    parts = detectors._users_by_address(pairs).groupBy("part").agg(F.max(F.size("users")).alias("n"))
     assert parts.count() == 64 and max(r.n for r in parts.collect()) < 60
     alert = detectors.ip_sharing(whole, settings).first()
     assert alert.user_count == 1001 and alert.shared_users is None

@@ -70,16 +70,40 @@ def failed_surge(events: DataFrame, settings: RiskSettings = DEFAULTS) -> DataFr
     )
 
 
-def _users_by_address(events: DataFrame, settings: RiskSettings) -> DataFrame:
+def _with_known_address(events: DataFrame, settings: RiskSettings) -> DataFrame:
+    if not settings.excluded_ips:
+        return events
+    return events.where(F.coalesce(~F.col("ip_address").isin(*settings.excluded_ips), F.lit(True)))
+
+
+def _shared_pairs(events: DataFrame, settings: RiskSettings) -> DataFrame:
+    """Distinct (window, address, user) of the addresses that have enough users (batch).
+
+    Pairs are made distinct before they are counted, and only those of an alert go on to have their users
+    listed. Adaptive execution splits a window and address with very many users where the two meet.
+    """
+    pairs = (
+        _with_known_address(events, settings)
+        .where("user_id IS NOT NULL")
+        .select(tumbling(settings.shared_ip_window_seconds).alias("window"), "ip_address", "user_id")
+        .distinct()
+    )
+    shared = (
+        pairs.groupBy("window", "ip_address")
+        .agg(F.count("*").alias("user_count"))
+        .where(F.col("user_count") >= settings.shared_ip_users)
+        .select(F.col("window").alias("shared_window"), F.col("ip_address").alias("shared_address"))
+    )
+    same = F.col("ip_address").eqNullSafe(F.col("shared_address")) & (
+        F.col("window") == F.col("shared_window")
+    )
+    return pairs.join(shared, same, "left_semi")
+
+
+def _users_by_address(pairs: DataFrame) -> DataFrame:
     """Distinct users of each window and address, in up to ``_USER_PARTS`` arrays."""
-    if settings.excluded_ips:
-        known = ~F.col("ip_address").isin(*settings.excluded_ips)
-        events = events.where(F.coalesce(known, F.lit(True)))
-    return events.groupBy(
-        tumbling(settings.shared_ip_window_seconds).alias("window"),
-        "ip_address",
-        F.pmod(F.xxhash64("user_id"), F.lit(_USER_PARTS)).alias("part"),
-    ).agg(F.collect_set("user_id").alias("users"))
+    part = F.pmod(F.xxhash64("user_id"), F.lit(_USER_PARTS)).alias("part")
+    return pairs.groupBy("window", "ip_address", part).agg(F.collect_set("user_id").alias("users"))
 
 
 def _shared_addresses(users: DataFrame, settings: RiskSettings) -> DataFrame:
@@ -100,17 +124,21 @@ def _shared_addresses(users: DataFrame, settings: RiskSettings) -> DataFrame:
 
 
 def ip_sharing(events: DataFrame, settings: RiskSettings = DEFAULTS) -> DataFrame:
-    """Addresses used by several users within one window.
+    """Addresses used by several users within one window, batch or stream.
 
     Users are listed in order and the alert belongs to the smallest. Beyond ``shared_users_inline`` users the
     alert carries the count only, and ``ip_sharing_members`` has every name as a row of its own.
     """
     seconds = settings.shared_ip_window_seconds
+    if events.isStreaming:
+        pairs = _with_known_address(events, settings).withColumn("window", tumbling(seconds))
+    else:
+        pairs = _shared_pairs(events, settings)
     summary = F.format_string(
         f"IP %s has %d distinct users in {seconds}s", "ip_address", "user_count"
     )
     return as_alerts(
-        _shared_addresses(_users_by_address(events, settings), settings),
+        _shared_addresses(_users_by_address(pairs), settings),
         S.IP_SHARING,
         user_id=F.col("first_user"),
         ip_address=F.col("ip_address"),
@@ -125,17 +153,8 @@ def ip_sharing(events: DataFrame, settings: RiskSettings = DEFAULTS) -> DataFram
 
 def ip_sharing_members(events: DataFrame, settings: RiskSettings = DEFAULTS) -> DataFrame:
     """All users behind the shared-address alerts, one row each, however many there are (batch)."""
-    users = _users_by_address(events, settings)
-    shared = (
-        users.groupBy("window", "ip_address")
-        .agg(F.sum(F.size("users")).alias("user_count"))
-        .where(F.col("user_count") >= settings.shared_ip_users)
-    )
-    return users.join(shared, ["window", "ip_address"]).select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "ip_address",
-        F.explode("users").alias("user_id"),
+    return _shared_pairs(events, settings).selectExpr(
+        "window.start AS window_start", "window.end AS window_end", "ip_address", "user_id"
     )
 
 
@@ -293,7 +312,8 @@ def _crossing(rows: DataFrame) -> DataFrame:
 def _runs_in_chunk(rows: DataFrame, settings: RiskSettings) -> DataFrame:
     """Number each user's events inside a chunk (``nth``) and say where their run began (``run_start``),
     with the last ``growth_length`` amounts."""
-    in_time = W.partitionBy("chunk", "user_id").orderBy(*S.EVENT_ORDER, "amount")
+    # The user first: rows of one task share the chunk, so sorting by it first would compare in vain.
+    in_time = W.partitionBy("user_id", "chunk").orderBy(*S.EVENT_ORDER, "amount")
     so_far = in_time.rowsBetween(W.unboundedPreceding, W.currentRow)
     earlier = [F.lag("amount", k).over(in_time) for k in range(settings.growth_length - 1, 0, -1)]
     return (
