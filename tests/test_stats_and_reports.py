@@ -117,6 +117,8 @@ def test_counts_by_type_and_hour(alerts):
     by_hour = reports.alerts_by_hour(alerts, datetime(2024, 1, 2, 12)).collect()
     # Exactly 24 hours before counts, and shares the label of noon today.
     assert [tuple(r) for r in by_hour] == [("11:00", 1), ("12:00", 3)]
+    apart = reports.alerts_by_hour(alerts, datetime(2024, 1, 2, 12), full_hour=True).collect()
+    assert [(r.hour, r.hour_start.day, r["count"]) for r in apart] == [("11:00", 2, 1), ("12:00", 1, 2), ("12:00", 2, 1)]
     assert reports.alerts_by_hour(alerts).count() == 0
     assert reports.alert_count(alerts).first()[0] == 6
 

@@ -21,7 +21,7 @@ from tidewatch.sinks.tables import (
 )
 from tidewatch.sources.kafka import kafka_options
 from tidewatch.sources.tables import RefreshedTable, read_table
-from tidewatch.streaming.jobs import enriching
+from tidewatch.streaming.jobs import enriching, loading_facts
 
 NOON = datetime(2024, 1, 1, 12)
 FACT = "transaction_id string, user_id string, product_id string, category string, amount double, event_time timestamp, seq long"
@@ -207,3 +207,16 @@ def test_kafka_options():
         "kafka.group.id": "g",
         "maxOffsetsPerTrigger": "5",
     }
+
+
+def test_loaded_batches_may_be_repeated(spark, dimensions, tmp_path):
+    users, products, categories = (RefreshedTable(lambda d=d: d) for d in dimensions)
+    load = loading_facts(f"{tmp_path}/facts", f"{tmp_path}/rejects", users, products, categories)
+    first = facts(spark, ("t1", "u1", "p1", "c1", 1.0, NOON, 0), ("t2", "ux", "p1", "c1", 1.0, NOON, 1))
+    second = facts(spark, ("t1", "u1", "p1", "c1", 9.0, NOON, 2), ("t2", "u1", "p1", "c1", 2.0, NOON, 3))
+    for number, batch in ((0, first), (1, second), (1, second)):
+        load(batch, number)
+    stored = spark.read.parquet(f"{tmp_path}/facts").orderBy("transaction_id").collect()
+    assert [(r.transaction_id, r.amount, r.batch_id) for r in stored] == [("t1", 1, 0), ("t2", 2, 1)]
+    rejects = spark.read.parquet(f"{tmp_path}/rejects").orderBy("seq").collect()
+    assert [(r.seq, r.reason) for r in rejects] == [(1, "no such user_id"), (2, "duplicate transaction_id")]

@@ -124,17 +124,26 @@ def alerts_by_type(alerts: DataFrame) -> DataFrame:
     )
 
 
-def alerts_by_hour(alerts: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
-    """Alerts of the 24 hours up to ``as_of`` (now by default) by hour of day, ``00:00`` to ``23:00``."""
+def alerts_by_hour(
+    alerts: DataFrame, as_of: datetime | Column | None = None, full_hour: bool = False
+) -> DataFrame:
+    """Alerts of the 24 hours up to ``as_of`` (now by default) by hour of day, ``00:00`` to ``23:00``.
+
+    The label of the present hour also counts what is left of the same hour yesterday; ``full_hour`` tells
+    them apart by a column ``hour_start``.
+    """
     if as_of is None:
         now = F.current_timestamp()
     else:
         now = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    keys = [F.date_format("alert_time", "HH:00").alias("hour")]
+    if full_hour:
+        keys.append(F.date_trunc("hour", "alert_time").alias("hour_start"))
     return (
         alerts.where(F.col("alert_time") >= now - F.expr("INTERVAL 24 HOURS"))
-        .groupBy(F.date_format("alert_time", "HH:00").alias("hour"))
+        .groupBy(*keys)
         .agg(F.count("*").alias("count"))
-        .orderBy("hour")
+        .orderBy("hour", *(["hour_start"] if full_hour else []))
     )
 
 

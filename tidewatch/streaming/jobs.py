@@ -9,17 +9,21 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch import schemas as S
-from tidewatch.operators import detectors, enrich, stats
+from tidewatch.operators import detectors, enrich, loading, stats
 from tidewatch.settings import DEFAULTS, RiskSettings
 from tidewatch.sinks.messages import each_of, to_text, to_topic
-from tidewatch.sinks.tables import BatchWriter, append_alerts, upsert_stats
+from tidewatch.sinks.tables import BatchWriter, append_alerts, empty_table, is_there, upsert_stats
 from tidewatch.sources.tables import RefreshedTable
 from tidewatch.streaming.stateful import stream_continuous_increase, stream_high_frequency
 
 
+_MOST_BROADCAST_IDS = 1_000_000
+
+
 @dataclass(frozen=True)
 class Result:
     build: Callable[[DataFrame, RiskSettings], DataFrame]
@@ -124,3 +128,41 @@ def enriching(
         write(enrich.event_messages(enriched), batch_id)
 
     return enrich_batch
+
+
+def loading_facts(
+    facts_path: str,
+    rejects_path: str,
+    users: RefreshedTable,
+    products: RefreshedTable,
+    categories: RefreshedTable,
+    order: str = "seq",
+) -> BatchWriter:
+    """For ``foreachBatch`` over a stream of facts, one stream per pair of paths: insert the sound rows that
+    are new and keep the others with their reason. A repeated batch replaces its own rows, and does not take
+    them for stored ones."""
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if is_there(spark, facts_path):
+            stored = spark.read.parquet(facts_path).where(F.col("batch_id") != batch_id)
+        else:
+            stored = empty_table(spark, S.TRANSACTIONS)
+        checked = loading.check_references(
+            batch, users.at(batch_id), products.at(batch_id), categories.at(batch_id)
+        ).persist()
+        try:
+            # A batch is far smaller than the table: broadcast its ids, once counted, and the table is only
+            # scanned and not shuffled to find which of them it has.
+            ids = checked.select("transaction_id").distinct()
+            small = ids.count() <= _MOST_BROADCAST_IDS
+            stored = stored.join(F.broadcast(ids) if small else ids, "transaction_id", "left_semi")
+            # Rejects first: once the facts of this batch are there, they must not look stored to it.
+            rejected = loading.rejected_facts(checked, stored, order)
+            rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+            accepted = loading.accepted_facts(checked, stored, order)
+            accepted.write.mode("overwrite").parquet(f"{facts_path}/batch_id={batch_id}")
+        finally:
+            checked.unpersist()
+
+    return load
