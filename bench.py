@@ -30,7 +30,6 @@ BATCH = (
     "continuous_increase",
     "all_alerts",
     "top_risky_users",
-    "alerts_by_type",
     "alert_search",
     "stats_history",
     "enrich_transactions",

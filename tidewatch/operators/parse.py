@@ -22,7 +22,8 @@ def parse(raw: DataFrame, value: str = "value", seq: Column | None = None) -> Da
     fields = F.col("fields")
     text = {name: fields[name] for name in (*REQUIRED_FIELDS, *FIELD_DEFAULTS)}
     amount = text["amount"].try_cast("double")
-    millis = text["timestamp"].try_cast("decimal(38,6)").try_cast("bigint")
+    fraction = text["timestamp"].try_cast("decimal(38,6)").try_cast("bigint")  # slow, and hardly ever needed
+    millis = F.coalesce(text["timestamp"].try_cast("bigint"), fraction)
 
     def or_default(name: str) -> Column:
         return F.when(F.map_contains_key(fields, name), text[name]).otherwise(F.lit(FIELD_DEFAULTS[name]))
