@@ -21,10 +21,13 @@ def all_alerts(events: DataFrame, settings: RiskSettings = DEFAULTS) -> DataFram
     )
 
 
-def rebuild_results(events: DataFrame, alerts_path: str, stats_path: str, settings: RiskSettings = DEFAULTS):
+def rebuild_results(
+    events: DataFrame, alerts_path: str, stats_path: str, settings: RiskSettings = DEFAULTS
+) -> None:
     """Write both result tables anew from stored events. Alerts are laid out by type, statistics by day, so
-    that reports read only the folders they ask for."""
-    rows = alert_rows(all_alerts(events, settings))
+    that reports read only the folders they ask for. Rebalancing before the write gives each folder files of
+    a sensible size, several where a type or day is full, instead of one from every task."""
+    rows = alert_rows(all_alerts(events, settings)).hint("rebalance", "alert_type")
     rows.write.mode("overwrite").partitionBy("alert_type").parquet(alerts_path)
     stats = stats_rows(window_stats(events, settings)).selectExpr("*", "to_date(window_start) AS day")
-    stats.write.mode("overwrite").partitionBy("day").parquet(stats_path)
+    stats.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(stats_path)
