@@ -37,6 +37,7 @@ class OutlierSettings:
     steps: int = 4
     tail: float = 1e-6  # of rows of a normal group that would be rejected
     min_group: int = 200
+    min_rows: int = 30  # with fewer rows in all there is nothing to be an outlier of
     # Spread that a clean group has anyway, in units of the transformed statistics; keeps constant ones regular.
     floors: tuple[float, ...] = (0.05, 0.03, 0.03, 0.25, 0.05)
 
@@ -230,7 +231,7 @@ def estimate(vectors: DataFrame, settings: OutlierSettings) -> DataFrame:
 
 def _judged(rows: DataFrame, estimates: DataFrame, settings: OutlierSettings) -> DataFrame:
     """Rows (doc, stats, levels) with ``distance`` and ``kept``; the finest level with an estimate decides."""
-    finest = rows
+    finest, estimates = rows, estimates.where(F.col("n") >= settings.min_rows)
     for k in range(3):
         one = estimates.select(F.col("level").alias(f"level_{k}"), F.struct("centre", "inverse").alias(f"estimate_{k}"))
         if k == 2:  # all rows have this level, and it is one row
@@ -265,7 +266,7 @@ def judge(
     ``base_failed``, ``distance`` (null where the base rules fail) and ``kept``.
 
     Null text counts as empty and fails the base rules; null language or source is a group of its own; repeated rows
-    are judged alike; an empty table gives no rows. Other columns, whatever their names, do not matter.
+    are judged alike; an empty table gives no rows, and with fewer than ``min_rows`` no row is an outlier. Other columns, whatever their names, do not matter.
     """
     keep = [c for c in docs.columns if c != text] if keep is None else keep
     needed = list(dict.fromkeys([*keep, lang, source]))
