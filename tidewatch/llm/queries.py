@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +38,24 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.jaccard_join import link
 
     return link(table(spark, folder, "documents"))
+
+
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.token_files import tokenize
+
+    return tokenize(table(spark, folder, "documents"), word_tokenizer())
+
+
+@query
+def op10_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.entropy_mix import mix
+
+    mixed = mix(table(spark, folder, "documents"), keep=["doc_id"])
+    return mixed.select("doc.doc_id", "size", "source_size", "target", "taken", "rate", "copies")
