@@ -10,8 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.llm.decontamination import keep_clean
+from tidewatch.llm.entropy_mix import remixed
 from tidewatch.llm.jaccard_join import keep_first
 from tidewatch.llm.quality_outliers import keep_good
+from tidewatch.llm.queries import word_tokenizer
+from tidewatch.llm.token_files import tokenize
 from tidewatch.session import durable
 
 
@@ -25,9 +29,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return keep_first(docs)
 
 
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it: none, once or more."""
+    return remixed(docs)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token files of the mix; returned is what they say of each document."""
+    return tokenize(docs, word_tokenizer())
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
+    ("benchmark_passages", benchmark_passages),
+    ("mixture", mixture),
+    ("token_files", token_files),
 ]
 
 #: No stage but the base rules can be said in SQL; the tests hold each against a brute-force version.

@@ -53,6 +53,13 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenize(table(spark, folder, "documents"), word_tokenizer())
 
 
+@query
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.decontamination import leaks
+
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op10_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.entropy_mix import mix
