@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +20,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fold(id: str, folds: int) -> Column:
+    """The part of the data that a document is in; rows without an id are in none."""
+    return F.crc32(F.col(id).cast("string").cast("binary")) % folds
+
+
 @query
 def op3_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.quality_outliers import judge
@@ -40,6 +46,15 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return link(table(spark, folder, "documents"))
 
 
+@query
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.quality_classifier import classify
+
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    return classify(docs, labels, fold("doc_id", 4) != 2).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def word_tokenizer() -> str:
     import public_tokenizers
 
