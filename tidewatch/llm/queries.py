@@ -25,6 +25,15 @@ def fold(id: str, folds: int) -> Column:
     return F.crc32(F.col(id).cast("string").cast("binary")) % folds
 
 
+@query
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.language_id import identify
+
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    found = identify(table(spark, folder, "documents"), fold("doc_id", 5) != 0)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op3_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.quality_outliers import judge
