@@ -34,6 +34,14 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op2_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.masked_lm import learn, score
+
+    docs = table(spark, folder, "documents")
+    return score(docs, learn(docs))
+
+
 @query
 def op3_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.quality_outliers import judge
