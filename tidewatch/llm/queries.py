@@ -56,6 +56,16 @@ def op3_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_token_attribution(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidewatch.llm.token_attribution import attribute, passages
+
+    docs, ranks = table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return attribute(docs, ranks, public_tokenizers.PATTERN, passages(docs["text"], 1000))
+
+
 @query
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.jaccard_join import link
