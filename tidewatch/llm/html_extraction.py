@@ -261,16 +261,17 @@ def described(order: list[Block]) -> np.ndarray:
 def decoded(order: list[Block], p: np.ndarray) -> list[str]:
     """The texts of the most likely consistent set of blocks.
 
-    A block is main text, is not, or holds both. Main text may hold blocks that are not, those hold nothing else.
+    A block is main text, is not, or holds both. Main text may hold blocks that are not, at a cost, so a short
+    paragraph goes with its article; what is not main text holds nothing else.
     """
     p = np.clip(p, 1e-4, 1 - 1e-4)
-    main, other, both = np.log(p), np.log(1 - p), np.log(0.3)
+    main, other, both, apart = np.log(p), np.log(1 - p), np.log(0.3), np.log(0.05)
     index = {id(block): k for k, block in enumerate(order)}
     best = [None] * len(order)
     for k in range(len(order) - 1, -1, -1):
         below = [best[index[id(b)]] for b in order[k].items]
         as_other = other[k] + sum(b[1] for b in below)
-        as_main = main[k] + sum(max(b[0], b[1]) for b in below)
+        as_main = main[k] + sum(max(b[0], b[1] + apart) for b in below)
         as_both = both + sum(max(b) for b in below) if below or order[k].parent is None else -np.inf
         if order[k].parent is None:
             as_main = as_other = -np.inf
@@ -280,7 +281,8 @@ def decoded(order: list[Block], p: np.ndarray) -> list[str]:
         if block.parent is not None:
             up = chosen[index[id(block.parent)]]
             allowed = {0: (0, 1), 1: (1,), 2: (0, 1, 2)}[up]
-            chosen[k] = max(allowed, key=lambda s: best[k][s])
+            cost = apart if up == 0 else 0.0
+            chosen[k] = max(allowed, key=lambda s: best[k][s] + cost * (s == 1))
         if chosen[k] == 0 and block.text and not block.hidden:
             texts.append(block.text)
     return texts

@@ -95,6 +95,14 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenize(table(spark, folder, "documents"), word_tokenizer())
 
 
+@query
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.html_extraction import extract, learn
+
+    pages = table(spark, folder, "pages")
+    return extract(pages, learn(pages))
+
+
 @query
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.decontamination import leaks
