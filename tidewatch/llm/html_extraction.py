@@ -425,6 +425,7 @@ def training_rows(pages: list[str], settings: ExtractSettings) -> tuple[np.ndarr
         xs.append(described(order)[1:])
         ys.append(mark[1:])
         good, bad = _texts_of(order, mark)
+        good = [" ".join(t.split()[: rand.randint(1, 4)]) if rand.random() < 0.2 else t for t in good]
         for _ in range(settings.layouts):
             reader = _MarkReader()
             reader.feed(laid_out(good, bad, rand))
