@@ -7,15 +7,17 @@ a hash. By the pigeonhole principle two linked sets have more equal segments tha
 * every set is indexed under its subset in each segment of its band, and of the band below if a smaller partner can
   be there;
 * on some segments it is indexed under all subsets with one element less too, which finds partners that differ by
-  one there; such a segment counts twice against H;
+  one there; such a segment counts twice against H, unless only one element is in it;
 * how many segments of either kind a band has is decided by their cost in rows, such that its sets can leave out
   their empty segments and some more; a set leaves out those it shares with most others. It is still found there by
   sets that use them. The rare set with more empty segments than it can leave out is put next to every set of its
   band, which is spread over many buckets for that.
 
-Sets sharing a used segment are compared exactly: first each with the first set of its bucket only; then, among the
-components that gave, all that are still apart. So a group of near copies costs a few comparisons per member, and
-no link between different components is lost.
+Sets sharing a used segment are compared: first each with the first set of its bucket only; then, among the components
+that gave, all that are still apart, from the larger set's side. So a group of near copies costs a few comparisons per
+member, and no link between different components is lost. Comparing starts with the parity of each set's elements in
+``PARITY`` bits: a pair differs in at least as many elements as its parities in bits, which rules most pairs out at
+once and no link; what is left is compared shingle by shingle.
 
 Sets are held as 64-bit shingle hashes: comparisons are exact up to collisions inside a pair of texts.
 """
@@ -29,7 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.components import components
@@ -42,6 +44,8 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 EXACT, LOOSE, DELETION, WHOLE = range(4)
 BELOW = 4
 
+PARITY = 8  # words of 64 bits
+
 
 @dataclass(frozen=True)
 class JoinSettings:
@@ -89,6 +93,15 @@ def fingerprints(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(sums[bounds[1:]] - sums[bounds[:-1]] + np.diff(bounds).astype(np.uint64))
 
 
+def parities(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """(sets, PARITY): bit k tells whether an odd number of the set's elements fall on k."""
+    sets = len(bounds) - 1
+    bit = (mix(values + _STEP) >> np.uint64(20)) % np.uint64(64 * PARITY)
+    cell = np.repeat(np.arange(sets) * (64 * PARITY), np.diff(bounds)) + bit.astype(np.int64)
+    odd = (np.bincount(cell, minlength=sets * 64 * PARITY) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(sets, 64 * PARITY), axis=1, bitorder="little").view("<i8")
+
+
 # --- bands and their segments
 
 
@@ -99,7 +112,7 @@ class Band:
     high: int
     exact: int  # segments indexed as they are
     loose: int  # segments indexed with one-deletion subsets too
-    spare: int  # how many segments a set may leave out
+    spare: int  # how many segments any set may leave out
 
 
 def _too_many(mean: float, spare: int) -> float:
@@ -149,7 +162,8 @@ def _band_of(sizes: np.ndarray, settings: JoinSettings) -> tuple[tuple[Band, ...
 def signatures(
     values: np.ndarray, bounds: np.ndarray, settings: JoinSettings
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(key, set, tag, spare) for every set: ``spare`` is how many segments it may leave out beside its empty ones."""
+    """(key, set, tag, spare) for every set: ``spare`` is how many segments it may leave out beside its empty ones,
+    and still find every partner that is not larger than itself."""
     sizes = np.diff(bounds)
     if not len(values):
         return
@@ -173,10 +187,15 @@ def signatures(
             cell = np.repeat(np.arange(len(sets)) * segments, length) + segment
             total = np.zeros(len(sets) * segments, np.uint64)
             np.add.at(total, cell, element)
-            filled = np.bincount(cell, minlength=len(total)) > 0
+            held = np.bincount(cell, minlength=len(total))
+            filled = held > 0
             loose = np.arange(segments) >= band.exact
-            cost = np.where(loose, 2, 1)
-            spare = band.spare - (~filled.reshape(len(sets), segments) * cost).sum(axis=1)
+            # An empty segment is left out. A loose one with one element is used as if it were exact: without that
+            # element it is empty, and nothing is indexed there.
+            counts = held.reshape(len(sets), segments)
+            partner = np.minimum(length, band.high)  # at most: a set looks for those not larger than itself
+            apart = (100 - settings.percent) * (length + partner) // (100 + settings.percent)
+            spare = band.exact + 2 * band.loose - 1 - apart - ((counts == 0) * np.where(loose, 2, 1) + (counts == 1) * loose).sum(axis=1)
 
             name = mix((np.arange(segments).astype(np.uint64) + np.uint64(1)) * _STEP + seed)
             at = np.flatnonzero(filled)
@@ -184,7 +203,7 @@ def signatures(
             keys = mix(total[at] + name[in_segment])
             yield keys, sets[at // segments], below + np.where(loose[in_segment], LOOSE, EXACT), spare[at // segments]
             if band.loose:
-                inside = np.flatnonzero(segment >= band.exact)
+                inside = np.flatnonzero((segment >= band.exact) & (held[cell] > 1))
                 less = mix(total[cell[inside]] - element[inside] + name[segment[inside]])
                 owner = cell[inside] // segments
                 yield less, sets[owner], np.full(len(less), below + DELETION), spare[owner]
@@ -205,17 +224,33 @@ def _sized(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def _sizes(rows: DataFrame, settings: JoinSettings) -> DataFrame:
-    """(doc, n, name) of every row; ``name`` is the same for equal sets."""
+    """(doc, n, name, parity) of every row; ``name`` is the same for equal sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in texts(batch.column(1)):
                 values, bounds = shingle_sets(part, settings.words)
                 names = pa.array(fingerprints(values, bounds).view(np.int64))
+                parity = pa.ListArray.from_arrays(
+                    np.arange(0, PARITY * part.rows + 1, PARITY, dtype=np.int32), pa.array(parities(values, bounds).ravel())
+                )
                 ids = batch.column(0).slice(part.first, part.rows)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(bounds)), names], ["doc", "n", "name"])
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(np.diff(bounds)), names, parity], ["doc", "n", "name", "parity"]
+                )
 
-    return rows.mapInArrow(run, "doc long, n long, name long")
+    return rows.mapInArrow(run, "doc long, n long, name long, parity array<long>")
+
+
+def _may_link(a: str, b: str, settings: JoinSettings) -> Column:
+    """Whether sizes and parities of two sets allow a link."""
+    n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
+    bits = [F.bit_count(F.col(f"parity_{a}")[k].bitwiseXOR(F.col(f"parity_{b}")[k])) for k in range(PARITY)]
+    apart = bits[0]
+    for more in bits[1:]:
+        apart = apart + more
+    close = 100 * F.least(n_a, n_b) >= settings.percent * F.greatest(n_a, n_b)
+    return close & ((100 + settings.percent) * apart <= (100 - settings.percent) * (n_a + n_b))
 
 
 def _signature_rows(rows: DataFrame, settings: JoinSettings) -> DataFrame:
@@ -265,13 +300,14 @@ def _buckets(rows: DataFrame) -> DataFrame:
     )
 
 
+_SET = ("n", "name", "parity")
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, chosen: DataFrame, settings: JoinSettings) -> DataFrame:
-    """The pairs (a, b) of documents that reach the threshold; ``chosen`` has (doc, n, name) once per document."""
-    side = lambda s: chosen.select(*[F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "name")])
-    sized = pairs.join(side("a").withColumnRenamed("doc_a", "a"), "a").join(side("b").withColumnRenamed("doc_b", "b"), "b")
-    sized = durable(
-        sized.where(f"100 * least(n_a, n_b) >= {settings.percent} * greatest(n_a, n_b)"), "candidates"
-    )
+    """The pairs (a, b) of documents that reach the threshold; ``chosen`` has each document's set once."""
+    side = lambda s: chosen.select(F.col("doc").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in _SET])
+    sized = pairs.join(side("a"), "a").join(side("b"), "b").where(_may_link("a", "b", settings))
+    sized = durable(sized.drop("parity_a", "parity_b"), "candidates")
     same = (F.col("name_a") == F.col("name_b")) & (F.col("n_a") == F.col("n_b"))
     other = sized.where(~same)
     wanted = durable(
@@ -310,8 +346,8 @@ def link(docs: DataFrame, settings: JoinSettings = JoinSettings(), id: str = "do
     chosen = durable(
         sizes.where("n > 0 and doc is not null")
         .groupBy("doc")
-        .agg(F.max(F.struct("n", "name")).alias("set"))
-        .select("doc", "set.n", "set.name"),
+        .agg(F.max(F.struct(*_SET)).alias("set"))
+        .select("doc", "set.*"),
         "set-names",
     )
     buckets = durable(_buckets(_signature_rows(rows, settings)), "buckets")
@@ -324,41 +360,44 @@ def link(docs: DataFrame, settings: JoinSettings = JoinSettings(), id: str = "do
         .select(F.col("first.doc").alias("a"), F.col("doc").alias("b"))
         .distinct()
     )
+    stars = durable(stars, "stars")
     linked = _verified(stars, rows, chosen, settings)
     groups = components(linked)
 
     # Then what is still apart in a bucket: documents outside the first one's component with all others, and its
     # members with them. Equal sets are in one component, so one of them stands for all.
-    alike = chosen.groupBy("n", "name").agg(F.min("doc").alias("stands")).join(chosen, ["n", "name"])
+    stands = chosen.groupBy("n", "name").agg(F.min("doc").alias("doc")).select("doc")
     placed = (
-        buckets.join(alike.where("doc = stands").select("doc"), "doc", "left_semi")
+        buckets.join(stands, "doc", "left_semi")
         .join(groups.withColumnRenamed("node", "doc"), "doc", "left")
         .withColumn("component", F.coalesce("component", "doc"))
         .withColumn("main", F.min(F.struct("doc", "component")).over(key)["component"])
         .withColumn("apart", F.max(F.col("component") != F.col("main")).over(key))
         .where("apart")
+        .select("key", "doc", "used", "deletion", "component", (F.col("component") == F.col("main")).alias("inside"))
     )
-    placed = durable(placed.select("key", "doc", "used", "deletion", "component", (F.col("component") == F.col("main")).alias("inside")), "apart")
-    left = placed.where("used").select("key", F.col("doc").alias("x"), F.col("deletion").alias("x_del"), F.col("component").alias("x_in"), "inside")
-    right = placed.select("key", F.col("doc").alias("y"), F.col("deletion").alias("y_del"), F.col("component").alias("y_in"), F.col("inside").alias("y_inside"))
+    placed = durable(placed.join(chosen.select("doc", "n", "parity"), "doc"), "apart")
+    side = lambda s, df: df.select("key", *[F.col(c).alias(f"{c}_{s}") for c in placed.columns if c != "key"])
+    looking, found = side("x", placed.where("used")), side("y", placed)
+    fits = "component_x <> component_y and n_x >= n_y and not (deletion_x and deletion_y)"
     rest = (
-        left.where("not inside")
-        .join(right, "key")
-        .unionByName(left.where("inside").join(right.where("not y_inside"), "key"))
-        .where("x_in <> y_in and not (x_del and y_del)")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        looking.where("not inside_x")
+        .join(found, "key")
+        .where(fits)
+        .where(_may_link("x", "y", settings))
+        .unionByName(
+            looking.where("inside_x").join(found.where("not inside_y"), "key").where(fits).where(_may_link("x", "y", settings))
+        )
+        .select(F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b"))
         .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
     more = _verified(rest, rows, chosen, settings)
     groups = components(linked.unionByName(more))
-    return (
-        sizes.join(groups.withColumnRenamed("node", "doc"), "doc", "left")
-        .select(
-            F.col("doc").alias("doc_id"),
-            F.col("n").alias("n_shingles"),
-            F.coalesce("component", "doc").alias("component_id"),
-        )
+    return sizes.join(groups.withColumnRenamed("node", "doc"), "doc", "left").select(
+        F.col("doc").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component", "doc").alias("component_id"),
     )
 
 
