@@ -9,6 +9,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -34,6 +35,8 @@ BATCH = (
     "stats_history",
     "enrich_transactions",
     "load_facts",
+    "rejected_facts",
+    "stored_top_risky_users",
     "orphan_report",
 )
 STREAMS = ("stream_window_totals", "stream_ip_sharing", "stream_high_frequency", "stream_continuous_increase")
@@ -53,6 +56,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tidewatch-bench")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidewatch-bench-"))
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -42,6 +42,9 @@ def test_numbers(spark):
         (None, "not a JSON object"),
         ({k: v for k, v in GOOD.items() if k != "user_id"}, "missing user_id"),
         ({k: v for k, v in GOOD.items() if k != "transaction_id"}, "missing transaction_id"),
+        ({**GOOD, "user_id": None}, "null user_id"),
+        ({**GOOD, "amount": 1e20}, "amount out of range"),
+        ({**GOOD, "amount": -1e300}, "amount out of range"),
         ({**GOOD, "amount": "many"}, "bad amount"),
         ({**GOOD, "amount": None}, "bad amount"),
         ('{"user_id":"u","amount":NaN,"timestamp":1,"transaction_id":"t"}', "bad amount"),

@@ -5,11 +5,10 @@ from pyspark.sql import functions as F
 
 from tests.rows import BASE
 from tidewatch.operators import detectors, stats
-from tidewatch.operators.chunks import by_chunk, ordered_chunks
-from tidewatch.schemas import EVENT_ORDER, EVENT_SCHEMA
+from tidewatch.schemas import EVENT_SCHEMA
 from tidewatch.settings import RiskSettings
 
-ROWS, PIECES = 60_000, 12
+ROWS = 60_000
 
 
 @pytest.fixture(scope="module")
@@ -35,41 +34,31 @@ def events(spark):
     return spark.range(0, ROWS, 1, 8).select(*[columns[c].alias(c) for c in EVENT_SCHEMA.fieldNames()])
 
 
-def test_chunks_are_even(events):
-    rows = ordered_chunks(events.select("user_id", *EVENT_ORDER), "user_id", *EVENT_ORDER, chunks=PIECES)
-    sizes = [r["count"] for r in rows.groupBy("chunk").count().collect()]
-    assert sum(sizes) == ROWS and max(sizes) < 2 * ROWS / PIECES
-    tasks = by_chunk(rows).groupBy(F.spark_partition_id()).agg(F.count_distinct("chunk").alias("n"))
-    assert {r.n for r in tasks.collect()} == {1}
-
-
-def test_copies_are_shared_out(events):
-    same = events.select(F.lit("u").alias("user_id"), F.lit(1).alias("timestamp"))
-    rows = ordered_chunks(same, "user_id", "timestamp", chunks=PIECES)
-    assert max(r["count"] for r in rows.groupBy("chunk").count().collect()) < 2 * ROWS / PIECES
-
-
-def test_results_do_not_depend_on_the_pieces(events):
+def test_results_do_not_depend_on_the_slices(events):
     alerts = [
-        detectors.continuous_increase(events, chunks=n).groupBy("user_id").count().orderBy("user_id").collect()
-        for n in (1, PIECES)
+        detectors.continuous_increase(events, slice_ms=ms).groupBy("user_id").count().orderBy("user_id").collect()
+        for ms in (10_000, 10_000_000)
     ]
     assert alerts[0] == alerts[1] and alerts[0][0].user_id == "hot"
     totals = [
-        stats.running_totals(events, n).agg(F.sum("total_amount"), F.max("transaction_count")).first()
-        for n in (1, PIECES)
+        stats.running_totals(events, ms).agg(F.sum("total_amount"), F.max("transaction_count")).first()
+        for ms in (10_000, 10_000_000)
     ]
     assert totals[0] == totals[1] and totals[0][1] == ROWS
 
 
-def test_hot_address_is_gathered_in_parts(events):
-    settings = RiskSettings(shared_ip_window_seconds=3600, shared_users_inline=10)
+def test_building_runs_no_job_and_leaves_nothing(spark, events, tmp_path):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    detectors.continuous_increase(events), stats.running_totals(events), detectors.high_frequency(events)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+def test_hot_address_is_counted_in_parts(events):
+    settings = RiskSettings(shared_ip_window_seconds=3600)
     whole = events.withColumn("ip_address", F.lit("0.0.0.0"))
-    pairs = detectors._shared_pairs(whole, settings)
-    parts = detectors._users_by_address(pairs).groupBy("part").agg(F.max(F.size("users")).alias("n"))
-    assert parts.count() == 64 and max(r.n for r in parts.collect()) < 60
-    alert = detectors.ip_sharing(whole, settings).first()
-    assert alert.user_count == 1001 and alert.shared_users is None
+    found = detectors.ip_sharing(whole, settings)
+    assert "collect_" not in found._jdf.queryExecution().toString()
+    assert found.first().user_count == 1001
     assert detectors.ip_sharing_members(whole, settings).count() == 1001
 
 

@@ -133,7 +133,7 @@ def test_out_of_order_bursts_follow_arrival(spark, tmp_path):
     for seq in range(240):
         late = random.choice([0, 0, 0, 900, 1900])  # within the two seconds of the watermark
         rows.append(event(f"u{random.randint(0, 2)}", start_ms + seq * 400 - late, seq))
-    settings = RiskSettings(burst_window_ms=5000, burst_count=3)
+    settings = RiskSettings(burst_window_ms=5000, burst_count=3, burst_idle_ms=0)
     out = f"{tmp_path}/out"
     batches = [rows[:80], rows[80:160], rows[160:]]
     run_files(
@@ -156,18 +156,18 @@ def test_late_rows_leave_closed_windows_alone(spark, tmp_path):
     assert (float(first.total_amount), first.transaction_count) == (5.0, 1)
 
 
-def test_late_rows_count_for_bursts_if_asked(spark, tmp_path):
+def test_late_rows_count_for_bursts(spark, tmp_path):
     base = 1_700_000_000_000
     batches = [
         [event("u", base, 0), event("u", base + 1000, 1)],
         [event("u", base + 100_000, 2)],
         [event("u", base + 99_000, 3), event("u", base + 97_999, 4)],
     ]
-    settings = RiskSettings(burst_window_ms=5000, burst_count=2)
+    settings = RiskSettings(burst_window_ms=5000, burst_count=2, burst_idle_ms=0)
     out = f"{tmp_path}/out"
     run_files(
         spark, tmp_path, batches,
-        lambda e: stream_high_frequency(e, settings, keep_late=True), write_batches(out, "a"),
+        lambda e: stream_high_frequency(e, settings), write_batches(out, "a"),
     )
     got = spark.read.parquet(out).select("user_id", F.unix_millis("window_end"), "transaction_count")
     flat = [row for batch in batches for row in batch]

@@ -56,7 +56,8 @@ def test_facts_are_taken_one_by_one(spark, dimensions):
         ),
         *dimensions,
     )
-    assert {r.seq: r.reason for r in loading.rejected_facts(checked, stored).collect()} == {
+    tagged = loading.tagged_facts(checked, stored)
+    assert {r.seq: r.reason for r in loading.rejected_facts(tagged).collect()} == {
         0: "no such user_id",
         2: "duplicate transaction_id",
         4: "no such product_id",
@@ -65,7 +66,7 @@ def test_facts_are_taken_one_by_one(spark, dimensions):
         7: "amount is null",
         8: "duplicate transaction_id",
     }
-    taken = loading.accepted_facts(checked, stored).orderBy("transaction_id").collect()
+    taken = loading.accepted_facts(tagged).orderBy("transaction_id").collect()
     assert [(r.transaction_id, r.amount, r.transaction_type, r.result) for r in taken] == [
         ("t1", Decimal("2.00"), "purchase", "success"),
         ("t2", Decimal("4.00"), "purchase", "success"),
@@ -79,12 +80,6 @@ def test_insert_ignore_takes_the_first_of_a_key(spark):
     assert [tuple(r) for r in new] == [("a", "1")]
 
 
-def test_merge_latest(spark):
-    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    new = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
-    assert sorted(map(tuple, loading.merge_latest(old, new, ["k"]).collect())) == [(1, "a"), (2, "B"), (3, "C")]
-
-
 def test_enrichment_defaults(spark, dimensions):
     users, products, _ = dimensions
     rows = facts(

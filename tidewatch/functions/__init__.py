@@ -1,22 +1,24 @@
 from tidewatch.functions.columns import (
-    cents,
+    LARGEST_AMOUNT,
     contains_pattern,
+    exact,
     exact_total,
-    from_cents,
     iso_utc,
     json_with,
+    money,
     plain_number,
     to_millis,
     tumbling,
 )
 
 __all__ = [
-    "cents",
+    "LARGEST_AMOUNT",
     "contains_pattern",
+    "exact",
     "exact_total",
-    "from_cents",
     "iso_utc",
     "json_with",
+    "money",
     "plain_number",
     "to_millis",
     "tumbling",

@@ -8,23 +8,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def cents(amount: Column | str) -> Column:
-    """A two-digit amount as a whole number of cents. Amounts with more digits are rounded to cents."""
+# Amounts are below this, which the parse sees to; so they fit the type they are added in, and so does the sum of a
+# million million of them.
+LARGEST_AMOUNT = 1e20
+_EXACT, _MONEY = "decimal(28,8)", "decimal(38,2)"
+
+
+def exact(amount: Column | str) -> Column:
+    """An amount as a decimal, with eight digits after the point: what totals are added in."""
     column = F.col(amount) if isinstance(amount, str) else amount
-    return F.rint(column * 100).cast("bigint")
+    return column.cast(_EXACT)
 
 
-def from_cents(total: Column) -> Column:
-    return (total.cast("decimal(20,0)") / 100).cast("decimal(20,2)")
+def money(total: Column | str) -> Column:
+    """A total rounded to cents, which is the last step."""
+    column = F.col(total) if isinstance(total, str) else total
+    return column.cast(_MONEY)
 
 
 def exact_total(amount: Column | str) -> Column:
-    """Sum of two-digit amounts as DECIMAL(20,2).
-
-    Cents are added as whole numbers, so the order of the rows cannot change the result, and several times
-    faster than decimals would be. A total that does not fit stops the job.
-    """
-    return from_cents(F.sum(cents(amount)))
+    """Sum of amounts, rounded to cents at the end. Decimals are added, so the order of the rows cannot change it."""
+    return money(F.sum(exact(amount)))
 
 
 def tumbling(seconds: int, time: str = "event_time") -> Column:

@@ -14,11 +14,8 @@ from pyspark.sql import functions as F
 from tidewatch import schemas as S
 from tidewatch.functions import plain_number, tumbling
 from tidewatch.operators.alerts import as_alerts
-from tidewatch.operators.chunks import by_chunk, ordered_chunks
 from tidewatch.settings import DEFAULTS, RiskSettings
 
-# Users of one address and window are gathered in this many parts, so that no task holds all of a busy one.
-_USER_PARTS = 64
 # A slice of a user's time line is this many burst windows long.
 _SLICE_WINDOWS = 4
 # Alerts of one user within one millisecond are produced in blocks of this size.
@@ -76,84 +73,55 @@ def _with_known_address(events: DataFrame, settings: RiskSettings) -> DataFrame:
     return events.where(F.coalesce(~F.col("ip_address").isin(*settings.excluded_ips), F.lit(True)))
 
 
-def _shared_pairs(events: DataFrame, settings: RiskSettings) -> DataFrame:
-    """Distinct (window, address, user) of the addresses that have enough users (batch).
+def ip_sharing_users(events: DataFrame, settings: RiskSettings = DEFAULTS) -> DataFrame:
+    """Each user of each address once per window, batch or stream: what the alerts are counted from.
 
-    Pairs are made distinct before they are counted, and only those of an alert go on to have their users
-    listed. Adaptive execution splits a window and address with very many users where the two meet.
+    On a stream a row is out when the user is first seen; with the stored alerts of the same windows it tells all
+    users behind them.
     """
-    pairs = (
-        _with_known_address(events, settings)
-        .where("user_id IS NOT NULL")
-        .select(tumbling(settings.shared_ip_window_seconds).alias("window"), "ip_address", "user_id")
-        .distinct()
-    )
-    shared = (
-        pairs.groupBy("window", "ip_address")
-        .agg(F.count("*").alias("user_count"))
-        .where(F.col("user_count") >= settings.shared_ip_users)
-        .select(F.col("window").alias("shared_window"), F.col("ip_address").alias("shared_address"))
-    )
-    same = F.col("ip_address").eqNullSafe(F.col("shared_address")) & (
-        F.col("window") == F.col("shared_window")
-    )
-    return pairs.join(shared, same, "left_semi")
-
-
-def _users_by_address(pairs: DataFrame) -> DataFrame:
-    """Distinct users of each window and address, in up to ``_USER_PARTS`` arrays."""
-    part = F.pmod(F.xxhash64("user_id"), F.lit(_USER_PARTS)).alias("part")
-    return pairs.groupBy("window", "ip_address", part).agg(F.collect_set("user_id").alias("users"))
+    pairs = _with_known_address(events, settings).where("user_id IS NOT NULL")
+    pairs = pairs.select(tumbling(settings.shared_ip_window_seconds).alias("window"), "ip_address", "user_id")
+    return pairs.dropDuplicates(["window", "ip_address", "user_id"])
 
 
 def _shared_addresses(users: DataFrame, settings: RiskSettings) -> DataFrame:
-    """One row per window and address with enough users. ``listed`` is null above the inline limit; until
-    then at most parts times limit names are held while a group is put together."""
-    inline = F.lit(settings.shared_users_inline)
-    few = F.when(F.size("users") <= inline, F.col("users"))
+    """One row per window and address with enough users. Counting is partial before the shuffle, so a busy address
+    is one row per task."""
     return (
         users.groupBy("window", "ip_address")
-        .agg(
-            F.sum(F.size("users")).alias("user_count"),
-            F.min(F.array_min("users")).alias("first_user"),
-            F.flatten(F.collect_list(few)).alias("listed"),
-        )
+        .agg(F.count("*").alias("user_count"), F.min("user_id").alias("first_user"))
         .where(F.col("user_count") >= settings.shared_ip_users)
-        .withColumn("listed", F.when(F.col("user_count") <= inline, F.array_sort("listed")))
     )
 
 
 def ip_sharing(events: DataFrame, settings: RiskSettings = DEFAULTS) -> DataFrame:
     """Addresses used by several users within one window, batch or stream.
 
-    Users are listed in order and the alert belongs to the smallest. Beyond ``shared_users_inline`` users the
-    alert carries the count only, and ``ip_sharing_members`` has every name as a row of its own.
+    The alert has their number and belongs to the smallest; every user is a row of ``ip_sharing_members``.
     """
     seconds = settings.shared_ip_window_seconds
-    if events.isStreaming:
-        pairs = _with_known_address(events, settings).withColumn("window", tumbling(seconds))
-    else:
-        pairs = _shared_pairs(events, settings)
-    summary = F.format_string(
-        f"IP %s has %d distinct users in {seconds}s", "ip_address", "user_count"
-    )
     return as_alerts(
-        _shared_addresses(_users_by_address(pairs), settings),
+        _shared_addresses(ip_sharing_users(events, settings), settings),
         S.IP_SHARING,
         user_id=F.col("first_user"),
         ip_address=F.col("ip_address"),
         user_count=F.col("user_count"),
-        shared_users=F.col("listed"),
         window_start=F.col("window.start"),
         window_end=F.col("window.end"),
         alert_time=F.col("window.end"),
-        details=F.concat_ws(": ", summary, F.array_join("listed", ", ")),
+        details=F.format_string(f"IP %s has %d distinct users in {seconds}s", "ip_address", "user_count"),
     )
 
 
 def ip_sharing_members(events: DataFrame, settings: RiskSettings = DEFAULTS) -> DataFrame:
-    """All users behind the shared-address alerts, one row each, however many there are (batch)."""
-    return _shared_pairs(events, settings).selectExpr(
+    """All users behind the shared-address alerts, one row each, however many there are (batch). Adaptive execution
+    splits a window and address with very many users where the two sides meet."""
+    users = ip_sharing_users(events, settings)
+    shared = _shared_addresses(users, settings).select(
+        F.col("window").alias("shared_window"), F.col("ip_address").alias("shared_address")
+    )
+    same = F.col("ip_address").eqNullSafe(F.col("shared_address")) & (F.col("window") == F.col("shared_window"))
+    return users.join(shared, same, "left_semi").selectExpr(
         "window.start AS window_start", "window.end AS window_end", "ip_address", "user_id"
     )
 
@@ -271,24 +239,22 @@ def _grows(amount: Column, previous: Column, settings: RiskSettings) -> Column:
 
 
 def continuous_increase(
-    events: DataFrame, settings: RiskSettings = DEFAULTS, chunks: int | None = None
+    events: DataFrame, settings: RiskSettings = DEFAULTS, slice_ms: int = 3_600_000
 ) -> DataFrame:
     """An alert at every ``growth_length``-th event of a run in which each amount of a user is at least
     ``growth_factor`` times the one before. An alert starts the count anew, hence every n-th and not every
     event from the n-th on.
 
-    Users are cut into chunks of even size, so that one user with a third of all events is shared out. Runs
-    are counted inside each chunk; a run that crosses chunk borders is put right by what each chunk of that
-    user inherits from the ones before. At most two users per chunk cross a border, so there are at most two
-    inherited rows per chunk, and broadcasting them is safe at any data size.
+    Each user's time line is cut into slices of a fixed width, so that one user with a third of all events is shared
+    out. Runs are counted inside each slice; a run that crosses slices is put right by what each slice inherits from
+    the user's slices before it, one row per user and slice.
     """
     order = ("user_id", *S.EVENT_ORDER, "amount")
-    rows = ordered_chunks(events.where("user_id IS NOT NULL").select(*order), *order, chunks=chunks)
-    inherited = _inherited(_crossing(rows), settings)
-
-    counted = _runs_in_chunk(rows, settings).join(
-        F.broadcast(inherited), ["chunk", "user_id"], "left"
+    rows = events.where("user_id IS NOT NULL").select(
+        *order, F.floor(F.col("timestamp") / F.lit(slice_ms)).cast("bigint").alias("slice")
     )
+    runs = _runs_in_slice(rows, settings)
+    counted = runs.join(_inherited(runs, settings), ["user_id", "slice"], "left")
     carried = F.when(F.col("run_start") == 1, F.coalesce("inherited_length", F.lit(0))).otherwise(F.lit(0))
     place = F.col("nth") - F.col("run_start") + 1 + carried
     before = F.coalesce("inherited_amounts", F.array().cast("array<double>"))
@@ -297,28 +263,14 @@ def continuous_increase(
     return growth_alerts(alerting.withColumn("amounts", amounts), settings)
 
 
-def _crossing(rows: DataFrame) -> DataFrame:
-    """Rows of the users whose events lie in more than one chunk."""
-    crossing = (
-        rows.groupBy("user_id")
-        .agg(F.min("chunk").alias("first"), F.max("chunk").alias("last"))
-        .where("first < last")
-        .select("user_id")
-    )
-    # Chunks are ranges of users, so no more than one user crosses each border between two of them.
-    return rows.join(F.broadcast(crossing), "user_id", "left_semi")
-
-
-def _runs_in_chunk(rows: DataFrame, settings: RiskSettings) -> DataFrame:
-    """Number each user's events inside a chunk (``nth``) and say where their run began (``run_start``),
+def _runs_in_slice(rows: DataFrame, settings: RiskSettings) -> DataFrame:
+    """Number each user's events inside a slice (``nth``) and say where their run began (``run_start``),
     with the last ``growth_length`` amounts."""
-    # The user first: rows of one task share the chunk, so sorting by it first would compare in vain.
-    in_time = W.partitionBy("user_id", "chunk").orderBy(*S.EVENT_ORDER, "amount")
+    in_time = W.partitionBy("user_id", "slice").orderBy(*S.EVENT_ORDER, "amount")
     so_far = in_time.rowsBetween(W.unboundedPreceding, W.currentRow)
     earlier = [F.lag("amount", k).over(in_time) for k in range(settings.growth_length - 1, 0, -1)]
     return (
-        by_chunk(rows)
-        .withColumn("nth", F.row_number().over(in_time))
+        rows.withColumn("nth", F.row_number().over(in_time))
         .withColumn("previous", F.lag("amount").over(in_time))
         .withColumn("recent", F.array_compact(F.array(*earlier, "amount")))
         .withColumn(
@@ -328,13 +280,12 @@ def _runs_in_chunk(rows: DataFrame, settings: RiskSettings) -> DataFrame:
     )
 
 
-def _inherited(rows: DataFrame, settings: RiskSettings) -> DataFrame:
-    """What the first events of a chunk inherit per user: the length of the run they carry on, zero if they
+def _inherited(runs: DataFrame, settings: RiskSettings) -> DataFrame:
+    """What the first events of a slice inherit per user: the length of the run they carry on, zero if they
     do not, and the last amounts before them."""
     kept = settings.growth_length - 1
     pieces = (
-        _runs_in_chunk(rows, settings)
-        .groupBy("chunk", "user_id")
+        runs.groupBy("user_id", "slice")
         .agg(
             F.max("nth").alias("events"),
             F.max("run_start").alias("last_run"),
@@ -342,7 +293,7 @@ def _inherited(rows: DataFrame, settings: RiskSettings) -> DataFrame:
             F.max_by("recent", "nth").alias("last_amounts"),
         )
     )
-    by_user = W.partitionBy("user_id").orderBy("chunk")
+    by_user = W.partitionBy("user_id").orderBy("slice")
     earlier = by_user.rowsBetween(-kept, -1)
     before = F.flatten(F.collect_list("last_amounts").over(earlier))
     joined = pieces.withColumn("before", before).withColumn(
@@ -355,13 +306,13 @@ def _inherited(rows: DataFrame, settings: RiskSettings) -> DataFrame:
         .withColumn("own_length", F.col("events") - F.col("last_run") + 1)
         .withColumn(
             "end_length",
-            F.sum("own_length").over(W.partitionBy("user_id", "span").orderBy("chunk")),
+            F.sum("own_length").over(W.partitionBy("user_id", "span").orderBy("slice")),
         )
         .withColumn("previous_length", F.lag("end_length").over(by_user))
     )
     return lengths.select(
-        "chunk",
         "user_id",
+        "slice",
         F.when(F.col("joins"), F.col("previous_length")).otherwise(F.lit(0)).alias("inherited_length"),
         F.col("before").alias("inherited_amounts"),
     )

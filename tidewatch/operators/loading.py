@@ -56,42 +56,35 @@ def check_references(
     return checked.select(*facts.columns, "reason")
 
 
-def accepted_facts(checked: DataFrame, existing: DataFrame, order: str = "seq") -> DataFrame:
-    """The rows to insert, in the columns of ``transactions``.
+def tagged_facts(checked: DataFrame, existing: DataFrame, order: str = "seq") -> DataFrame:
+    """Checked facts with every row's final ``reason``, null for those to insert.
 
-    As if inserted one by one in ``order``, skipping what breaks a constraint: the first sound row of each
-    transaction id that is not stored yet. It is found by a partial aggregate, so copies of one id are one
-    row per task before they meet.
+    As if inserted one by one in ``order``, skipping what breaks a constraint: of each transaction id that is not
+    stored yet, the first sound row goes in. ``order`` is unique among the rows of one id. The first is found by a
+    partial aggregate and joined back, so an id with very many copies is one row per task on one side, and adaptive
+    execution can split the other.
     """
-    first = F.min_by(F.struct(*[c for c in checked.columns if c not in ("transaction_id", order)]), order)
-    rows = (
+    columns = checked.columns
+    stored = existing.select("transaction_id").distinct().withColumn("stored", F.lit(True))
+    first = (
         checked.where("reason IS NULL")
         .groupBy("transaction_id")
-        .agg(first.alias("row"))
-        .select("transaction_id", "row.*")
-        .join(existing.select("transaction_id"), "transaction_id", "left_anti")
-    )
-    return with_defaults(rows, TRANSACTIONS)
-
-
-def rejected_facts(checked: DataFrame, existing: DataFrame, order: str = "seq") -> DataFrame:
-    """The rows left out, each with its ``reason``. ``order`` is unique among the rows of one id, so the join
-    that finds the winners has no two rows of a kind on either side, however many copies an id has."""
-    winners = (
-        checked.where("reason IS NULL")
-        .groupBy("transaction_id")
-        .agg(F.min(order).alias(order))
-        .join(existing.select("transaction_id"), "transaction_id", "left_anti")
-        .withColumn("wins", F.lit(True))
+        .agg(F.min(order).alias("first"))
+        .join(stored, "transaction_id", "left")
     )
+    lost = F.col("stored") | (F.col(order) != F.col("first"))
     return (
-        checked.join(winners, ["transaction_id", order], "left")
-        .where(F.col("reason").isNotNull() | F.col("wins").isNull())
-        .select(*checked.columns)
-        .withColumn("reason", F.coalesce("reason", F.lit("duplicate transaction_id")))
+        checked.join(first, "transaction_id", "left")
+        .withColumn("reason", F.coalesce("reason", F.when(lost, F.lit("duplicate transaction_id"))))
+        .select(*columns)
     )
 
 
-def merge_latest(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Insert or replace by key: all of ``new`` and the rows of ``existing`` it does not replace."""
-    return existing.join(new.select(*keys), keys, "left_anti").unionByName(new)
+def accepted_facts(tagged: DataFrame) -> DataFrame:
+    """The rows to insert, in the columns of ``transactions``."""
+    return with_defaults(tagged.where("reason IS NULL"), TRANSACTIONS)
+
+
+def rejected_facts(tagged: DataFrame) -> DataFrame:
+    """The rows left out, each with its ``reason``."""
+    return tagged.where("reason IS NOT NULL")

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.functions import LARGEST_AMOUNT
 from tidewatch.schemas import EVENT_SCHEMA, FIELD_DEFAULTS, REQUIRED_FIELDS
 
 # Milliseconds of the years 1 to 9999, the range a timestamp column can show.
 _FIRST_MS, _LAST_MS = -62_135_596_800_000, 253_402_300_799_999
-# Beyond this a double cannot tell cents apart.
-_LARGEST_AMOUNT = 1e13
 
 
 def parse(raw: DataFrame, value: str = "value", seq: Column | None = None) -> DataFrame:
@@ -28,7 +29,7 @@ def parse(raw: DataFrame, value: str = "value", seq: Column | None = None) -> Da
     def or_default(name: str) -> Column:
         return F.when(F.map_contains_key(fields, name), text[name]).otherwise(F.lit(FIELD_DEFAULTS[name]))
 
-    usable = F.abs(amount) <= _LARGEST_AMOUNT  # false for NaN too, which Spark sorts above infinity
+    usable = F.abs(amount) < LARGEST_AMOUNT  # false for NaN too, which Spark sorts above infinity
     in_range = millis.between(_FIRST_MS, _LAST_MS)
     error = F.coalesce(
         F.when(fields.isNull(), F.lit("not a JSON object")),
@@ -36,6 +37,8 @@ def parse(raw: DataFrame, value: str = "value", seq: Column | None = None) -> Da
             F.when(~F.map_contains_key(fields, name), F.lit(f"missing {name}"))
             for name in REQUIRED_FIELDS
         ],
+        F.when(text["user_id"].isNull(), F.lit("null user_id")),
+        F.when(F.abs(amount).between(LARGEST_AMOUNT, sys.float_info.max), F.lit("amount out of range")),
         F.when(~F.coalesce(usable, F.lit(False)), F.lit("bad amount")),
         F.when(~F.coalesce(in_range, F.lit(False)), F.lit("bad timestamp")),
     )

@@ -61,7 +61,7 @@ def alert_search(
         columns = [F.col(c) for c in ("user_id", "transaction_id", "details")]
         hits = [c.like(pattern) if match_case else c.ilike(pattern) for c in columns]
         alerts = alerts.where(hits[0] | hits[1] | hits[2])
-    amount = F.nullif(F.col("amount"), F.lit(0).cast("decimal(12,2)")) if zero_as_null else F.col("amount")
+    amount = F.nullif(F.col("amount"), F.lit(0).cast("decimal(28,2)")) if zero_as_null else F.col("amount")
     return (
         alerts.select(
             "alert_type",

@@ -11,8 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
-from tidewatch.functions import cents, exact_total, from_cents, tumbling
-from tidewatch.operators.chunks import by_chunk, ordered_chunks
+from tidewatch.functions import exact, exact_total, money, tumbling
 from tidewatch.settings import DEFAULTS, RiskSettings
 
 _WINDOW = ("window.start AS window_start", "window.end AS window_end")
@@ -48,11 +47,15 @@ def window_stats(events: DataFrame, settings: RiskSettings = DEFAULTS) -> DataFr
     Events are read and aggregated once; the totals are summed from the category rows.
     """
     keys = ["window_start", "window_end", "category"]
+    by_category = (
+        events.groupBy(tumbling(settings.stats_window_seconds).alias("window"), "category")
+        .agg(F.sum(exact("amount")).alias("total"), F.count("*").alias("transaction_count"))
+        .selectExpr(*_WINDOW, "category", "total", "transaction_count")
+    )
     return (
-        category_totals(events, settings)
-        .groupingSets([keys, keys[:2]], *keys)
+        by_category.groupingSets([keys, keys[:2]], *keys)
         .agg(
-            F.sum("total_amount").cast("decimal(20,2)").alias("total_amount"),
+            money(F.sum("total")).alias("total_amount"),
             F.sum("transaction_count").alias("transaction_count"),
             (F.grouping("category") == 1).alias("is_total"),
         )
@@ -79,7 +82,7 @@ def product_totals(events: DataFrame, settings: RiskSettings = DEFAULTS) -> Data
     by_category = events.groupBy(
         tumbling(settings.stats_window_seconds).alias("window"), "product_name", "category"
     ).agg(
-        F.sum(cents("amount")).alias("cents"),
+        F.sum(exact("amount")).alias("total"),
         F.count("*").alias("events"),
         F.min("seq").alias("arrival"),
         F.min("timestamp").alias("time"),
@@ -92,7 +95,7 @@ def product_totals(events: DataFrame, settings: RiskSettings = DEFAULTS) -> Data
         by_category.groupBy("window", "product_name")
         .agg(
             F.coalesce(first, F.lit("")).alias("category"),
-            from_cents(F.sum("cents")).alias("total_amount"),
+            money(F.sum("total")).alias("total_amount"),
             F.sum("events").alias("transaction_count"),
         )
         .selectExpr(*_WINDOW, "product_name", "category", "total_amount", "transaction_count")
@@ -105,36 +108,37 @@ def overall_totals(events: DataFrame) -> DataFrame:
     return events.agg(*_totals())
 
 
-def running_totals(events: DataFrame, chunks: int | None = None) -> DataFrame:
+def running_totals(events: DataFrame, slice_ms: int = 60_000) -> DataFrame:
     """Total and count after each event, in time order (batch).
 
-    A window over all events would run in one task. Here each chunk of the time line keeps its own running
-    sum and adds the sum of the chunks before it, one row per chunk.
+    A window over all events would run in one task. Here the time line is cut into slices of a fixed width. Each
+    keeps its own running sum and adds what the slices before it sum up to: one row per slice, which is all that is
+    ever ordered in one task.
     """
-    order = (*S.EVENT_ORDER, "cents")
-    rows = ordered_chunks(
-        events.select(*S.EVENT_ORDER, cents("amount").alias("cents")), *order, chunks=chunks
+    rows = events.select(
+        *S.EVENT_ORDER,
+        exact("amount").alias("exact"),
+        F.floor(F.col("timestamp") / F.lit(slice_ms)).cast("bigint").alias("slice"),
     )
-    earlier = W.orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy("chunk")
-        .agg(F.sum("cents").alias("cents"), F.count("*").alias("events"))
+        rows.groupBy("slice")
+        .agg(F.sum("exact").alias("total"), F.count("*").alias("events"))
         .select(
-            "chunk",
-            F.coalesce(F.sum("cents").over(earlier), F.lit(0)).alias("cents_before"),
+            "slice",
+            F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("total_before"),
             F.coalesce(F.sum("events").over(earlier), F.lit(0)).alias("events_before"),
         )
     )
-    so_far = W.partitionBy("chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    so_far = W.partitionBy("slice").orderBy(*S.EVENT_ORDER, "exact").rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
-        by_chunk(rows)
-        .withColumn("running_cents", F.sum("cents").over(so_far))
+        rows.withColumn("running_total", F.sum("exact").over(so_far))
         .withColumn("running_events", F.row_number().over(so_far))
-        .join(F.broadcast(offsets), "chunk")  # one row per chunk
+        .join(offsets, "slice")
         .select(
             "transaction_id",
             "timestamp",
-            from_cents(F.col("cents_before") + F.col("running_cents")).alias("total_amount"),
+            money(F.col("total_before") + F.col("running_total")).alias("total_amount"),
             (F.col("events_before") + F.col("running_events")).cast("bigint").alias("transaction_count"),
         )
     )

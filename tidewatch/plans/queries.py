@@ -19,10 +19,10 @@ from tidewatch.functions import json_with
 from tidewatch.operators import detectors, enrich, loading, quality, reports, stats
 from tidewatch.operators.alerts import alert_rows
 from tidewatch.operators.parse import good_events, parse, rejected_events
-from tidewatch.plans.batch import all_alerts
+from tidewatch.plans.batch import all_alerts, rebuild_results
 from tidewatch.session import configure, new_folder
 from tidewatch.settings import RiskSettings
-from tidewatch.sinks.tables import write_batches
+from tidewatch.sinks.tables import append_alerts, read_alerts, read_stats, upsert_stats, write_batches
 from tidewatch.sources import star
 from tidewatch.sources.files import replay_table
 from tidewatch.streaming.jobs import RESULTS, start, watermarked
@@ -34,6 +34,7 @@ SAMPLE = RiskSettings(
     failed_window_seconds=HOUR,
     failed_count=5,
     shared_ip_window_seconds=HOUR,
+    burst_idle_ms=0,  # replays end
 )
 SHORT_BURST = RiskSettings(burst_window_ms=6 * HOUR * 1000)
 
@@ -111,47 +112,46 @@ RUNS = """runs AS (
       FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY t, seq)))
 )"""
 LARGE_SQL = """SELECT 'LARGE_AMOUNT' AS alert_type, user_id, transaction_id, amount, category,
-  CAST(NULL AS INTEGER) AS transaction_count, CAST(NULL AS INTEGER) AS sequence_length,
-  CAST(NULL AS VARCHAR) AS amounts, CAST(NULL AS VARCHAR) AS ip_address, CAST(NULL AS INTEGER) AS user_count,
-  CAST(NULL AS VARCHAR) AS shared_users, CAST(NULL AS TIMESTAMP) AS window_start,
+  CAST(NULL AS BIGINT) AS transaction_count, CAST(NULL AS INTEGER) AS sequence_length,
+  CAST(NULL AS VARCHAR) AS amounts, CAST(NULL AS VARCHAR) AS ip_address, CAST(NULL AS BIGINT) AS user_count,
+  CAST(NULL AS TIMESTAMP) AS window_start,
   CAST(NULL AS TIMESTAMP) AS window_end, epoch_ms(t) AS alert_time,
   'Transaction ' || transaction_id || ' amount ' || CAST(amount AS VARCHAR) || ' exceeds {limit}' AS details
 FROM {source} WHERE amount > {limit}"""
 BURST_SQL = """SELECT 'HIGH_FREQUENCY' AS alert_type, user_id, CAST(NULL AS VARCHAR) AS transaction_id,
-  CAST(NULL AS DOUBLE) AS amount, CAST(NULL AS VARCHAR) AS category, CAST(n AS INTEGER) AS transaction_count,
+  CAST(NULL AS DOUBLE) AS amount, CAST(NULL AS VARCHAR) AS category, CAST(n AS BIGINT) AS transaction_count,
   CAST(NULL AS INTEGER) AS sequence_length, CAST(NULL AS VARCHAR) AS amounts, CAST(NULL AS VARCHAR) AS ip_address,
-  CAST(NULL AS INTEGER) AS user_count, CAST(NULL AS VARCHAR) AS shared_users,
+  CAST(NULL AS BIGINT) AS user_count,
   epoch_ms(t - {ms}) AS window_start, epoch_ms(t) AS window_end, epoch_ms(t) AS alert_time,
   'User ' || user_id || ' has ' || n || ' transactions in last {seconds} seconds' AS details
 FROM {name}"""
 GROWTH_SQL = """SELECT 'CONTINUOUS_INCREASE' AS alert_type, user_id, transaction_id, amount,
-  CAST(NULL AS VARCHAR) AS category, CAST(NULL AS INTEGER) AS transaction_count,
+  CAST(NULL AS VARCHAR) AS category, CAST(NULL AS BIGINT) AS transaction_count,
   CAST(3 AS INTEGER) AS sequence_length,
   CAST(CAST(two AS DECIMAL(18,2)) AS VARCHAR) || ', ' || CAST(CAST(one AS DECIMAL(18,2)) AS VARCHAR)
     || ', ' || CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR) AS amounts,
-  CAST(NULL AS VARCHAR) AS ip_address, CAST(NULL AS INTEGER) AS user_count, CAST(NULL AS VARCHAR) AS shared_users,
+  CAST(NULL AS VARCHAR) AS ip_address, CAST(NULL AS BIGINT) AS user_count,
   CAST(NULL AS TIMESTAMP) AS window_start, CAST(NULL AS TIMESTAMP) AS window_end, epoch_ms(t) AS alert_time,
   'User ' || user_id || ' has 3 consecutive increasing transactions' AS details
 FROM runs WHERE place % 3 = 0"""
 SURGE_SQL = """SELECT 'FAILED_SURGE' AS alert_type, 'GLOBAL' AS user_id, CAST(NULL AS VARCHAR) AS transaction_id,
-  CAST(NULL AS DOUBLE) AS amount, CAST(NULL AS VARCHAR) AS category, CAST(n AS INTEGER) AS transaction_count,
+  CAST(NULL AS DOUBLE) AS amount, CAST(NULL AS VARCHAR) AS category, CAST(n AS BIGINT) AS transaction_count,
   CAST(NULL AS INTEGER) AS sequence_length, CAST(NULL AS VARCHAR) AS amounts, CAST(NULL AS VARCHAR) AS ip_address,
-  CAST(NULL AS INTEGER) AS user_count, CAST(NULL AS VARCHAR) AS shared_users,
+  CAST(NULL AS BIGINT) AS user_count,
   epoch_ms(w) AS window_start, epoch_ms(w + 3600000) AS window_end, epoch_ms(w + 3600000) AS alert_time,
   n || ' failed transactions in last 3600s' AS details
 FROM (SELECT t - t % 3600000 AS w, count(*) AS n FROM ev WHERE result = 'failed' GROUP BY 1)
 WHERE n >= 5"""
 SHARED = """shared AS (
-  SELECT t - t % 3600000 AS w, ip_address, count(DISTINCT user_id) AS n, min(user_id) AS first_user,
-         string_agg(DISTINCT user_id, ', ' ORDER BY user_id) AS listed
+  SELECT t - t % 3600000 AS w, ip_address, count(DISTINCT user_id) AS n, min(user_id) AS first_user
   FROM ev GROUP BY 1, 2 HAVING count(DISTINCT user_id) >= 3
 )"""
 SHARED_SQL = """SELECT 'IP_SHARING' AS alert_type, first_user AS user_id, CAST(NULL AS VARCHAR) AS transaction_id,
-  CAST(NULL AS DOUBLE) AS amount, CAST(NULL AS VARCHAR) AS category, CAST(NULL AS INTEGER) AS transaction_count,
+  CAST(NULL AS DOUBLE) AS amount, CAST(NULL AS VARCHAR) AS category, CAST(NULL AS BIGINT) AS transaction_count,
   CAST(NULL AS INTEGER) AS sequence_length, CAST(NULL AS VARCHAR) AS amounts, ip_address,
-  CAST(n AS INTEGER) AS user_count, listed AS shared_users,
+  CAST(n AS BIGINT) AS user_count,
   epoch_ms(w) AS window_start, epoch_ms(w + 3600000) AS window_end, epoch_ms(w + 3600000) AS alert_time,
-  'IP ' || ip_address || ' has ' || n || ' distinct users in 3600s: ' || listed AS details
+  'IP ' || ip_address || ' has ' || n || ' distinct users in 3600s' AS details
 FROM shared"""
 DAY_MS, SIX_HOURS_MS = 86_400_000, 21_600_000
 DAY_BURSTS = BURSTS.format(name="bursts", ms=DAY_MS)
@@ -325,6 +325,16 @@ def ip_sharing_query(spark, folder):
     return detectors.ip_sharing(star.events(spark, folder), SAMPLE)
 
 
+@register(
+    "ip_sharing_users",
+    f"""WITH {EV} SELECT DISTINCT epoch_ms(t - t % 3600000) AS window_start,
+  epoch_ms(t - t % 3600000 + 3600000) AS window_end, ip_address, user_id FROM ev""",
+)
+def ip_sharing_users_query(spark, folder):
+    pairs = detectors.ip_sharing_users(star.events(spark, folder), SAMPLE)
+    return pairs.selectExpr("window.start AS window_start", "window.end AS window_end", "ip_address", "user_id")
+
+
 @register(
     "ip_sharing_members",
     f"""WITH {EV}, {SHARED}
@@ -513,23 +523,62 @@ def category_list_query(spark, folder):
     return reports.category_list(star.categories(spark, folder))
 
 
+# --- reports over stored results ----------------------------------------------------------------------
+
+
+def stored_results(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Both result tables, written by the batch job and read back."""
+    root = new_folder(spark, "results")
+    rebuild_results(star.events(spark, folder), f"{root}/alerts", f"{root}/stats", SAMPLE)
+    return read_alerts(spark, f"{root}/alerts"), spark.read.parquet(f"{root}/stats").drop("day")
+
+
+@register("stored_alert_search", f"WITH {ALERTS} {SEARCH.format(where='', n=500)}")
+def stored_alert_search_query(spark, folder):
+    return reports.alert_search(stored_results(spark, folder)[0])
+
+
+@register("stored_top_risky_users", f"WITH {ALERTS}, {USERS} {TOP_KNOWN.format(n=5)}")
+def stored_top_risky_users_query(spark, folder):
+    return reports.top_risky_users(stored_results(spark, folder)[0], star.users(spark, folder))
+
+
+@register("stored_stats_history", f"WITH {EV}, {STATS} {HISTORY.format(where='')}")
+def stored_stats_history_query(spark, folder):
+    return reports.stats_history(stored_results(spark, folder)[1])
+
+
+@register(
+    "stream_risk_alerts",
+    f"WITH {ALERTS} SELECT * FROM alert_rows WHERE alert_type = 'LARGE_AMOUNT'",
+)
+def stream_risk_alerts_query(spark, folder):
+    """Alerts as a stream appends them to the table, read from the table."""
+    path = new_folder(spark, "alerts")
+    events = watermarked(star.adapt_events(replay_table(spark, folder, "events.parquet")), SAMPLE)
+    alerts = RESULTS["large_amount"].build(events, SAMPLE)
+    once = {"availableNow": True}
+    start(alerts, append_alerts(path, "large_amount", "query"), f"{path}-checkpoint", trigger=once).awaitTermination()
+    return read_alerts(spark, path)
+
+
 # --- enrichment and messages -------------------------------------------------------------------------
 
-# Users are the customers with money in their account, so that some events have no user row.
-SOLVENT = f"{USERS}, solvent AS (SELECT 'user_' || c_custkey AS user_id FROM customer WHERE c_acctbal >= 0)"
-ENRICHED = f"""{EV}, {SOLVENT}, enriched AS (
+# The users table has the customers whose number is a nation's too, so that most events and lines have no user row.
+KNOWN = f"{USERS}, known AS (SELECT 'user_' || n_nationkey AS user_id FROM nation)"
+ENRICHED = f"""{EV}, {KNOWN}, enriched AS (
   SELECT ev.transaction_id, ev.user_id, ev.product_id, ev.category, ev.amount, 'purchase' AS transaction_type,
-         ev.result, t, CASE WHEN solvent.user_id IS NULL THEN '0.0.0.0' ELSE users.ip_address END AS ip_address,
+         ev.result, t, CASE WHEN known.user_id IS NULL THEN '0.0.0.0' ELSE users.ip_address END AS ip_address,
          coalesce(p_name, 'unknown') AS product_name
-  FROM ev LEFT JOIN solvent ON solvent.user_id = ev.user_id LEFT JOIN users ON users.user_id = ev.user_id
+  FROM ev LEFT JOIN known ON known.user_id = ev.user_id LEFT JOIN users ON users.user_id = ev.user_id
   LEFT JOIN part ON 'prod_' || p_partkey = ev.product_id
 )"""
 
 
-def solvent_users(spark: SparkSession, folder: str) -> DataFrame:
-    accounts = spark.read.parquet(f"{folder}/customer.parquet").where("c_acctbal >= 0")
-    solvent = accounts.select(F.concat(F.lit("user_"), F.col("c_custkey").cast("string")).alias("user_id"))
-    return star.users(spark, folder).join(solvent, "user_id", "left_semi")
+def known_users(spark: SparkSession, folder: str) -> DataFrame:
+    nations = spark.read.parquet(f"{folder}/nation.parquet")
+    known = nations.select(F.concat(F.lit("user_"), F.col("n_nationkey").cast("string")).alias("user_id"))
+    return star.users(spark, folder).join(known, "user_id", "left_semi")
 
 
 def event_facts(spark: SparkSession, folder: str) -> DataFrame:
@@ -539,7 +588,7 @@ def event_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 def enriched_events(spark: SparkSession, folder: str) -> DataFrame:
     return enrich.enrich_transactions(
-        event_facts(spark, folder), solvent_users(spark, folder), star.products(spark, folder)
+        event_facts(spark, folder), known_users(spark, folder), star.products(spark, folder)
     )
 
 
@@ -624,11 +673,11 @@ LINE_FACTS = f"""facts AS (
          CASE WHEN l_linestatus = 'O' THEN 'processing' ELSE 'success' END AS result,
          l_shipdate AS event_time, l_linenumber, l_partkey, l_suppkey
   FROM lineitem LEFT JOIN part ON p_partkey = l_partkey
-), {SOLVENT}, stored AS (
-  SELECT 'txn_' || o_orderkey AS transaction_id FROM orders WHERE o_orderstatus = 'P'
+), {KNOWN}, stored AS (
+  SELECT 'txn_' || event_id AS transaction_id FROM events
 ), reasons AS (
-  SELECT facts.*, CASE WHEN solvent.user_id IS NULL THEN 'no such user_id' END AS reason
-  FROM facts LEFT JOIN solvent ON solvent.user_id = facts.user_id
+  SELECT facts.*, CASE WHEN known.user_id IS NULL THEN 'no such user_id' END AS reason
+  FROM facts LEFT JOIN known ON known.user_id = facts.user_id
 ), checked AS (
   SELECT reasons.* EXCLUDE (reason), coalesce(reason, CASE WHEN stored.transaction_id IS NOT NULL OR
       row_number() OVER (PARTITION BY reasons.transaction_id, reason
@@ -641,16 +690,15 @@ LINE_FACTS = f"""facts AS (
 def checked_lines(spark: SparkSession, folder: str) -> DataFrame:
     return loading.check_references(
         star.line_facts(spark, folder),
-        solvent_users(spark, folder),
+        known_users(spark, folder),
         star.products(spark, folder),
         star.categories(spark, folder),
     )
 
 
-def stored_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """The fact table before the load holds the orders in progress."""
-    orders = spark.read.parquet(f"{folder}/orders.parquet").where("o_orderstatus = 'P'")
-    return orders.select(F.concat(F.lit("txn_"), F.col("o_orderkey").cast("string")).alias("transaction_id"))
+def tagged_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines loaded into a fact table that holds the events."""
+    return loading.tagged_facts(checked_lines(spark, folder), event_facts(spark, folder))
 
 
 @register(
@@ -660,8 +708,7 @@ SELECT transaction_id, user_id, product_id, category, CAST(amount AS DOUBLE) AS
   result, event_time FROM checked WHERE reason IS NULL""",
 )
 def load_facts_query(spark, folder):
-    checked = checked_lines(spark, folder)
-    return loading.accepted_facts(checked, stored_orders(spark, folder)).drop("process_time")
+    return loading.accepted_facts(tagged_lines(spark, folder)).drop("process_time")
 
 
 @register(
@@ -671,8 +718,7 @@ SELECT transaction_id, user_id, product_id, category, CAST(amount AS DOUBLE) AS
   result, event_time, reason FROM checked WHERE reason IS NOT NULL""",
 )
 def rejected_facts_query(spark, folder):
-    checked = checked_lines(spark, folder)
-    return loading.rejected_facts(checked, stored_orders(spark, folder)).drop("seq")
+    return loading.rejected_facts(tagged_lines(spark, folder)).drop("seq")
 
 
 @register(
@@ -691,47 +737,52 @@ def insert_ignore_users_query(spark, folder):
 
 @register(
     "upsert_stats",
-    f"""WITH {EV}, coarse AS (
+    f"""WITH {EV}, own AS (
   SELECT epoch_ms(t - t % 5000) AS window_start, epoch_ms(t - t % 5000 + 5000) AS window_end, category, {TOTALS}
-  FROM ev WHERE category IN ('click', 'view') GROUP BY t - t % 5000, category
-), every AS (
-  SELECT epoch_ms(t - t % 5000) AS window_start, epoch_ms(t - t % 5000 + 5000) AS window_end, category,
-         CAST(0 AS DOUBLE) AS total_amount, CAST(0 AS BIGINT) AS transaction_count
-  FROM ev GROUP BY t - t % 5000, category)
-SELECT * FROM coarse UNION ALL SELECT * FROM every WHERE category NOT IN ('click', 'view')""",
+  FROM ev GROUP BY t - t % 5000, category
+), moved AS (
+  SELECT window_start, window_end, category, CAST(0 AS DOUBLE) AS total_amount, CAST(0 AS BIGINT) AS transaction_count
+  FROM own
+  UNION ALL SELECT window_start, window_end, 'none', CAST(0 AS DOUBLE), CAST(0 AS BIGINT) FROM own
+  GROUP BY window_start, window_end)
+SELECT * FROM own UNION ALL SELECT * FROM moved WHERE category = 'none'""",
 )
 def upsert_stats_query(spark, folder):
-    """Rows of zeros for all windows, overwritten where clicks and views bring new totals."""
-    e = star.events(spark, folder)
-    new = stats.stats_rows(stats.category_totals(e.where(F.col("category").isin("click", "view"))))
-    zeros = {"total_amount": F.lit(0).cast("decimal(14,2)"), "transaction_count": F.lit(0).cast("bigint")}
-    old = stats.stats_rows(stats.category_totals(e)).withColumns(zeros)
-    return loading.merge_latest(old, new, list(S.TRANSACTION_STATS.key))
+    """The stored log after two batches: zeros for every window and category, and for one more category; then the
+    totals, which replace the zeros where they have the same key."""
+    path = new_folder(spark, "stats")
+    totals = stats.category_totals(star.events(spark, folder))
+    nothing = {"total_amount": F.lit(0), "transaction_count": F.lit(0)}
+    spare = totals.select("window_start", "window_end", F.lit("none").alias("category")).distinct()
+    write = upsert_stats(path, "query")
+    write(totals.withColumns(nothing).unionByName(spare.withColumns(nothing)), 0)
+    write(totals, 1)
+    return read_stats(spark, path)
 
 
 @register(
     "orphan_report",
-    f"""WITH {EV}, {SOLVENT}
+    f"""WITH {EV}, {KNOWN}
 SELECT 'user_id' AS column_name, user_id AS value, count(*) AS "count" FROM ev
-WHERE user_id NOT IN (SELECT user_id FROM solvent) GROUP BY user_id""",
+WHERE user_id NOT IN (SELECT user_id FROM known) GROUP BY user_id""",
 )
 def orphan_report_query(spark, folder):
-    return quality.orphan_report(event_facts(spark, folder), "user_id", solvent_users(spark, folder))
+    return quality.orphan_report(event_facts(spark, folder), "user_id", known_users(spark, folder))
 
 
 @register(
     "remove_orphans",
-    f"""WITH {EV}, {SOLVENT}
+    f"""WITH {EV}, {KNOWN}
 SELECT transaction_id, user_id,
-  CASE WHEN product_id IN (SELECT 'prod_' || p_partkey FROM part WHERE p_size <= 25) THEN product_id END AS product_id
-FROM ev WHERE user_id IN (SELECT user_id FROM solvent)""",
+  CASE WHEN product_id IN (SELECT 'prod_' || n_nationkey FROM nation) THEN product_id END AS product_id
+FROM ev WHERE user_id IN (SELECT user_id FROM known)""",
 )
 def remove_orphans_query(spark, folder):
-    """Facts after insolvent users (cascade) and large products (set null) were deleted."""
+    """Facts after the users (cascade) and products (set null) whose number is no nation's were deleted."""
     to_users, to_products, _ = S.TRANSACTIONS.foreign_keys
-    small = spark.read.parquet(f"{folder}/part.parquet").where("p_size <= 25")
-    products = small.select(F.concat(F.lit("prod_"), F.col("p_partkey").cast("string")).alias("product_id"))
-    kept = quality.remove_orphans(event_facts(spark, folder), to_users, solvent_users(spark, folder))
+    nations = spark.read.parquet(f"{folder}/nation.parquet")
+    products = nations.select(F.concat(F.lit("prod_"), F.col("n_nationkey").cast("string")).alias("product_id"))
+    kept = quality.remove_orphans(event_facts(spark, folder), to_users, known_users(spark, folder))
     return quality.remove_orphans(kept, to_products, products).select("transaction_id", "user_id", "product_id")
 
 
@@ -825,6 +876,22 @@ def stream_ip_sharing_query(spark, folder):
     return replay(spark, folder, "ip_sharing", SAMPLE)
 
 
+@register(
+    "stream_ip_sharing_members",
+    f"""WITH {EV}, {SHARED}
+SELECT DISTINCT epoch_ms(w) AS window_start, epoch_ms(w + 3600000) AS window_end, ev.ip_address, ev.user_id
+FROM ev JOIN shared ON shared.w = t - t % 3600000 AND shared.ip_address = ev.ip_address
+WHERE epoch_ms(w + 3600000) <= {CLOSED}""",
+)
+def stream_ip_sharing_members_query(spark, folder):
+    """The users behind the alerts, from what two streams have stored."""
+    users = replay(spark, folder, "ip_sharing_users", SAMPLE).selectExpr(
+        "window.start AS window_start", "window.end AS window_end", "ip_address", "user_id"
+    )
+    alerts = replay(spark, folder, "ip_sharing", SAMPLE)
+    return users.join(alerts, ["window_start", "window_end", "ip_address"], "left_semi")
+
+
 @register("stream_running_totals", f"WITH {EV} SELECT {TOTALS} FROM ev")
 def stream_running_totals_query(spark, folder):
     return replay(spark, folder, "running_totals", SAMPLE).distinct()

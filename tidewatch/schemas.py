@@ -78,12 +78,11 @@ ALERT_SCHEMA = T.StructType(
         T.StructField("transaction_id", T.StringType()),
         T.StructField("amount", T.DoubleType()),
         T.StructField("category", T.StringType()),
-        T.StructField("transaction_count", T.IntegerType()),
+        T.StructField("transaction_count", T.LongType()),
         T.StructField("sequence_length", T.IntegerType()),
         T.StructField("amounts", T.ArrayType(T.DoubleType())),
         T.StructField("ip_address", T.StringType()),
-        T.StructField("user_count", T.IntegerType()),
-        T.StructField("shared_users", T.ArrayType(T.StringType())),
+        T.StructField("user_count", T.LongType()),
         T.StructField("window_start", T.TimestampType()),
         T.StructField("window_end", T.TimestampType()),
         T.StructField("alert_time", T.TimestampType()),
@@ -165,7 +164,7 @@ TRANSACTIONS = TableSpec(
             _must("user_id", _STRING),
             _may("product_id", _STRING),
             _must("category", _STRING),
-            _must("amount", T.DecimalType(12, 2)),
+            _must("amount", T.DecimalType(28, 2)),
             _may("transaction_type", _STRING),
             _may("result", _STRING),
             _must("event_time", _TIME),
@@ -186,7 +185,7 @@ TRANSACTION_STATS = TableSpec(
             _must("window_start", _TIME),
             _must("window_end", _TIME),
             _must("category", _STRING),
-            _must("total_amount", T.DecimalType(14, 2)),
+            _must("total_amount", T.DecimalType(38, 2)),
             _must("transaction_count", _COUNT),
         ]
     ),
@@ -198,8 +197,8 @@ RISK_ALERTS = TableSpec(
             _must("alert_type", _STRING),
             _must("user_id", _STRING),
             _may("transaction_id", _STRING),
-            _may("amount", T.DecimalType(12, 2)),
-            _may("transaction_count", T.IntegerType()),
+            _may("amount", T.DecimalType(28, 2)),
+            _may("transaction_count", _COUNT),
             _may("window_start", _TIME),
             _may("window_end", _TIME),
             _may("details", _STRING),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,15 +29,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``."""
+    """The folder all executors can reach: as the cluster names it in ``spark.checkpoint.dir``, and where it names
+    none, next to the tables in the warehouse, which they reach as well."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="tidewatch-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.work"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -20,9 +20,9 @@ class RiskSettings:
     stats_window_seconds: int = 5
     lateness_seconds: int = 2
 
-    # Ours. An alert lists its users inline up to this many; the members table always has them all.
-    shared_users_inline: int = 1000
-    # Addresses left out of the shared-address rule, such as the placeholder of unknown ones.
+    # Ours: when a stream forgets the burst window of a user who has gone quiet (0: never),
+    burst_idle_ms: int = 24 * 3_600_000
+    # and addresses left out of the shared-address rule, such as the placeholder of unknown ones.
     excluded_ips: tuple[str, ...] = ()
 
     def __post_init__(self):

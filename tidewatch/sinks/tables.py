@@ -41,23 +41,34 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
 
 def upsert_stats(path: str, run: str) -> BatchWriter:
     """Window statistics as ``transaction_stats`` rows that replace earlier rows of the same window and
-    category. A batch only adds its rows; ``read_stats`` picks the newest of each key, so no batch reads or
-    rewrites what is stored."""
-    return write_batches(path, run, lambda df: stats_rows(df).withColumn("written_at", F.current_timestamp()))
+    category. A batch only adds its rows, in folders by day; ``read_stats`` picks the newest of each key, so no batch
+    reads or rewrites what is stored."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = stats_rows(batch).withColumns({"written_at": F.current_timestamp(), "day": F.to_date("window_start")})
+        rows.write.mode("overwrite").partitionBy("day").parquet(f"{path}/run={run}/batch_id={batch_id}")
+
+    return write
 
 
-def read_stats(spark: SparkSession, path: str) -> DataFrame:
-    """The present rows. A filter on window or category reaches the files, as both are keys here."""
+def read_stats(spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
+    """The present rows, of some days if these are given: then only their folders are read. A filter on window or
+    category reaches the files as well, as both are keys here. Rows of one key written at one time are told apart by
+    run and batch, so a row is always one that was written."""
     key = list(TRANSACTION_STATS.key)
     values = [c for c in TRANSACTION_STATS.schema.fieldNames() if c not in key]
-    newest = [F.max_by(c, "written_at").alias(c) for c in values]
-    return spark.read.parquet(path).groupBy(*key).agg(*newest)
+    log = spark.read.parquet(path)
+    if first_day:
+        log = log.where(F.col("day") >= F.lit(first_day).cast("date"))
+    if last_day:
+        log = log.where(F.col("day") <= F.lit(last_day).cast("date"))
+    newest = F.max_by(F.struct(*values), F.struct("written_at", "batch_id", F.col("run").cast("string"), *values))
+    return log.groupBy(*key).agg(newest.alias("row")).select(*key, "row.*")
 
 
 def compact_stats(spark: SparkSession, path: str, target: str) -> None:
     """The present rows as a new table of the same layout, which later batches can go on writing to."""
-    rows = read_stats(spark, path).withColumn("written_at", F.current_timestamp())
-    rows.write.mode("overwrite").parquet(f"{target}/run=compacted/batch_id=0")
+    upsert_stats(target, "compacted")(read_stats(spark, path).hint("rebalance"), 0)
 
 
 def is_there(spark: SparkSession, path: str) -> bool:

@@ -6,7 +6,7 @@ One query per result keeps a slow or failing one from holding up the others.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,20 +16,17 @@ from tidewatch import schemas as S
 from tidewatch.operators import detectors, enrich, loading, stats
 from tidewatch.settings import DEFAULTS, RiskSettings
 from tidewatch.sinks.messages import each_of, to_text, to_topic
-from tidewatch.sinks.tables import BatchWriter, append_alerts, empty_table, is_there, upsert_stats
+from tidewatch.sinks.tables import BatchWriter, append_alerts, empty_table, is_there, upsert_stats, write_batches
 from tidewatch.sources.tables import RefreshedTable
 from tidewatch.streaming.stateful import stream_continuous_increase, stream_high_frequency
 
 
-_MOST_BROADCAST_IDS = 1_000_000
-
-
 @dataclass(frozen=True)
 class Result:
     build: Callable[[DataFrame, RiskSettings], DataFrame]
-    messages: Callable[[DataFrame], DataFrame]
-    topic: str
-    table: str | None  # "alerts" or "stats" if the result is stored as well
+    messages: Callable[[DataFrame], DataFrame] | None
+    topic: str | None
+    table: str | None  # "alerts", "stats" or "users" if the result is stored as well
     output_mode: str = "append"
 
 
@@ -41,6 +38,7 @@ RESULTS = {
     ),
     "failed_surge": Result(detectors.failed_surge, enrich.alert_messages, S.ALERTS_TOPIC, "alerts"),
     "ip_sharing": Result(detectors.ip_sharing, enrich.alert_messages, S.ALERTS_TOPIC, "alerts"),
+    "ip_sharing_users": Result(detectors.ip_sharing_users, None, None, "users"),
     "running_totals": Result(
         lambda events, settings: stats.overall_totals(events),
         enrich.running_messages,
@@ -94,18 +92,23 @@ def start_results(
     Below ``root``, a folder all executors can reach, are the checkpoints and the tables ``alerts`` and
     ``stats``. Messages go to the topics of ``servers``, or without it to text files below ``root/topics``.
     """
+    if (trigger or {}).get("availableNow") or (trigger or {}).get("once"):
+        settings = replace(settings, burst_idle_ms=0)
     events = watermarked(events, settings)
     started = {}
     for name in names:
         result = RESULTS[name]
-        if servers:
-            writers = [to_topic(servers, result.topic, result.messages)]
-        else:
-            writers = [to_text(f"{root}/topics/{result.topic}/{name}-{run}", result.messages)]
+        writers = []
+        if result.topic and servers:
+            writers.append(to_topic(servers, result.topic, result.messages))
+        elif result.topic:
+            writers.append(to_text(f"{root}/topics/{result.topic}/{name}-{run}", result.messages))
         if result.table == "alerts":
             writers.append(append_alerts(f"{root}/alerts", name, run))
         elif result.table == "stats":
             writers.append(upsert_stats(f"{root}/stats", f"{name}-{run}"))
+        elif result.table == "users":
+            writers.append(write_batches(f"{root}/users", f"{name}-{run}"))
         started[name] = start(
             result.build(events, settings),
             each_of(*writers),
@@ -137,32 +140,36 @@ def loading_facts(
     products: RefreshedTable,
     categories: RefreshedTable,
     order: str = "seq",
+    buckets: int = 1024,
 ) -> BatchWriter:
     """For ``foreachBatch`` over a stream of facts, one stream per pair of paths: insert the sound rows that
     are new and keep the others with their reason. A repeated batch replaces its own rows, and does not take
-    them for stored ones."""
+    them for stored ones.
+
+    Facts lie in folders by a hash of their id (``bucket``), so a batch looks for its ids in the folders they would be
+    in and in no others. ``buckets`` belongs to the table: it must not change once there are facts.
+    """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        bucket = F.pmod(F.xxhash64("transaction_id"), F.lit(buckets)).cast("int")
+        checked = loading.check_references(
+            batch, users.at(batch_id), products.at(batch_id), categories.at(batch_id)
+        )
         if is_there(spark, facts_path):
+            touched = [r.bucket for r in batch.select(bucket.alias("bucket")).distinct().collect()]  # numbers below buckets
             stored = spark.read.parquet(facts_path).where(F.col("batch_id") != batch_id)
+            stored = stored.where(F.col("bucket").isin(touched))
         else:
             stored = empty_table(spark, S.TRANSACTIONS)
-        checked = loading.check_references(
-            batch, users.at(batch_id), products.at(batch_id), categories.at(batch_id)
-        ).persist()
+        tagged = loading.tagged_facts(checked, stored, order).persist()
         try:
-            # A batch is far smaller than the table: broadcast its ids, once counted, and the table is only
-            # scanned and not shuffled to find which of them it has.
-            ids = checked.select("transaction_id").distinct()
-            small = ids.count() <= _MOST_BROADCAST_IDS
-            stored = stored.join(F.broadcast(ids) if small else ids, "transaction_id", "left_semi")
             # Rejects first: once the facts of this batch are there, they must not look stored to it.
-            rejected = loading.rejected_facts(checked, stored, order)
-            rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
-            accepted = loading.accepted_facts(checked, stored, order)
-            accepted.write.mode("overwrite").parquet(f"{facts_path}/batch_id={batch_id}")
+            loading.rejected_facts(tagged).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+            rows = loading.accepted_facts(tagged).withColumn("bucket", bucket).withColumn("batch_id", F.lit(batch_id))
+            writer = rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy("bucket", "batch_id").parquet(facts_path)
         finally:
-            checked.unpersist()
+            tagged.unpersist()
 
     return load
