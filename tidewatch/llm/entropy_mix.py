@@ -12,7 +12,8 @@ they do not depend on the order of rows, and reruns agree to the last copy.
 Rates become whole copies by systematic rounding over the sizes of a source from the largest down: with R the running
 sum of rates, the documents of one size get the whole numbers that R passes on them. Each gets its rate rounded down,
 and as many as that leaves, drawn by a hash of their id, one more. So the words taken differ from the target by about
-one largest document of the source at most, and less for the best of several beginnings. Running sums go over the histogram, and documents of one source and size
+one largest document of the source at most; the best of several beginnings is taken, and what is left made up for by
+the documents of one size. Running sums go over the histogram, and documents of one source and size
 are drawn in parts that do not grow with the data.
 """
 
@@ -132,6 +133,24 @@ def _key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source), F.lit("-"))
 
 
+def _evened(shares: DataFrame, settings: MixSettings) -> DataFrame:
+    """The shares with ``more`` put right in one cell per source: the one whose documents, given or spared so many extra
+    copies, make up best for what the source's words still differ from its target."""
+    size, more = F.col("size"), F.col("more")
+    totals = shares.groupBy("source_key", "target").agg(F.sum(size * (F.col("docs") * F.col("copies") + more)).alias("words"))
+    missing = totals.select("source_key", (F.col("target") - F.col("words")).alias("missing"))
+    room = F.when(F.col("copies") < settings.most, F.col("docs") - more).otherwise(F.lit(0))
+    live = shares.where("size > 0 and rate > 0").join(missing, "source_key")
+    step = F.greatest(-more, F.least(room, F.round(F.col("missing") / size).cast("long")))
+    live = live.withColumn("step", step)
+    left = F.struct(F.abs(F.col("missing") - F.col("step") * size).alias("left"), "size", "part", "step")
+    chosen = live.groupBy("source_key").agg(F.min(left).alias("best")).select(
+        "source_key", F.col("best.size").alias("size"), F.col("best.part").alias("part"), F.col("best.step").alias("step")
+    )
+    evened = shares.join(chosen, ["source_key", "size", "part"], "left")
+    return durable(evened.withColumn("more", more + F.coalesce("step", F.lit(0))).drop("step"), "mix-evened")
+
+
 def plan(thin: DataFrame, settings: MixSettings) -> DataFrame:
     """From (source, source_key, size, draw) of every document, one row per cell of source, size and part: the rate,
     the copies each document gets, and the draw up to which one gets one more."""
@@ -179,9 +198,9 @@ def plan(thin: DataFrame, settings: MixSettings) -> DataFrame:
         summed.join(begins, "source_key")
         .withColumn("copies", F.floor(F.col("micro") / _MICRO).cast("int"))
         .withColumn("more", passed(F.col("at")) - F.col("docs") * F.col("copies"))
-        .drop("at")
     )
-    shares = durable(shares.drop("start", "micro"), "mix-shares")
+    shares = durable(shares.drop("at", "start", "micro"), "mix-shares")
+    shares = _evened(shares, settings)
     chosen = drawn.join(shares.where("more > 0").select("source_key", "size", "part", "more"), ["source_key", "size", "part"])
     rank = F.row_number().over(Window.partitionBy("source_key", "size", "part").orderBy("draw"))
     last = chosen.withColumn("rank", rank).where("rank = more").select("source_key", "size", "part", F.col("draw").alias("last"))
