@@ -167,6 +167,10 @@ class _Reader(HTMLParser):
         if tag not in ("html", "body"):
             self._close({tag}, () if tag not in INLINE else HOLDERS | CLOSED_BY_BLOCK | {"li", "td"})
 
+    def parse_marked_section(self, i, report=1):
+        end = self.rawdata.find(">", i)  # no page stops the job with one
+        return end + 1 if end >= 0 else -1
+
     def handle_data(self, data):
         if self.unseen:
             return
@@ -450,7 +454,8 @@ def _all(block: Block) -> Iterator[Block]:
 
 
 def learn(pages: DataFrame, settings: ExtractSettings = ExtractSettings(), html: str = "html") -> Trees:
-    """Trees from the ``sample_pages`` first pages by the hash of their content, of those that are not too long."""
+    """Trees from the ``sample_pages`` first pages by the hash of their content, of those that are not too long. Where
+    no page marks its article there is nothing to learn, and every block is as likely main text as not."""
     body = pages.select(pages[html].cast("string").alias("html")).where(F.col("html").isNotNull() & (F.length("html") <= settings.page_chars))
     some = body.orderBy(F.xxhash64("html"), "html").limit(settings.sample_pages)
     return fit(*training_rows([r.html for r in some.collect()], settings), settings.boost)

@@ -170,7 +170,7 @@ def learn(labelled: DataFrame, settings: NetSettings) -> Net | None:
     stacked, owners = [], []
     for part in texts(flat):
         windows, rows_of, sizes = windows_of(part, settings.window)
-        use = sizes >= min(settings.window, 20)
+        use = (sizes >= 20) | (np.diff(rows_of, prepend=-1) > 0)  # no short rests
         stacked.append(windows[use])
         owners.append(targets[part.first + rows_of[use]])
     return train(np.concatenate(stacked), np.concatenate(owners), labels, settings)

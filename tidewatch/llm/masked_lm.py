@@ -187,7 +187,7 @@ def score(docs: DataFrame, model: LanguageModel, id: str = "doc_id", text: str =
                 middle = np.flatnonzero(token[1:-1] != BOUNDARY) + 1
                 logs = table[token[middle - 1], token[middle + 1], token[middle]].astype(np.float64)
                 n = np.bincount(rows[middle], minlength=part.rows)
-                total = np.bincount(rows[middle], logs, part.rows)
+                total = np.bincount(rows[middle], logs, part.rows).astype(np.float64)
                 mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
                 ids = batch.column(0).slice(part.first, part.rows)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(total), mean], ["doc_id", "n_tokens", "log_prob", "per_token"])

@@ -80,6 +80,8 @@ def scored(rows: DataFrame, trees: Trees) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             x = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(trees.probabilities(x))], ["doc_id", "score"])
 
