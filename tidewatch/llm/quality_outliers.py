@@ -38,6 +38,8 @@ class OutlierSettings:
     tail: float = 1e-6  # of rows of a normal group that would be rejected
     min_group: int = 200
     min_rows: int = 30  # with fewer rows in all there is nothing to be an outlier of
+    broadcast_levels: int = 100_000  # estimates sent to every task; beyond that rows meet them by level and salt
+    salts: int = 256
     # Spread that a clean group has anyway, in units of the transformed statistics; keeps constant ones regular.
     floors: tuple[float, ...] = (0.05, 0.03, 0.03, 0.25, 0.05)
 
@@ -146,6 +148,17 @@ def _cut(rows: DataFrame, keys: list[str], value: str, share: float) -> DataFram
     )
 
 
+def _meet(rows: DataFrame, small: DataFrame, key: str, few: bool, settings: OutlierSettings) -> DataFrame:
+    """``rows`` joined with one row per level, left. One level may hold all rows: the other side is sent to every task,
+    or, if there are too many levels for that, each level's rows are spread by a salt."""
+    if few:
+        return rows.join(F.broadcast(small), key, "left")
+    # The rows come from files in the task that salts them, so a task that is run again gives them the same salts.
+    salts = F.sequence(F.lit(0), F.lit(settings.salts - 1))
+    spread = rows.withColumn("salt", F.floor(F.rand(1) * settings.salts).cast("int"))
+    return spread.join(small.withColumn("salt", F.explode(salts)), [key, "salt"], "left").drop("salt")
+
+
 _ESTIMATE = T.StructType(
     [
         T.StructField("level", T.StringType()),
@@ -182,7 +195,9 @@ def estimate(vectors: DataFrame, settings: OutlierSettings) -> DataFrame:
     sizes = spread_rows.groupBy("level").agg(F.count("*").alias("n"))
     # The level "" always has an estimate: the others fall back on it.
     wanted = durable(sizes.where((F.col("n") >= settings.min_group) | (F.col("level") == "")), "mcd-levels")
-    rows = spread_rows.join(wanted.select("level"), "level", "left_semi")
+    few = wanted.count() <= settings.broadcast_levels
+    known = wanted.select("level", F.lit(True).alias("wanted"))
+    rows = _meet(spread_rows, known, "level", few, settings).where("wanted").drop("wanted")
 
     # Start: the median and the distance of the quartiles of each statistic, to 1/1024.
     long = rows.select("level", F.posexplode("x").alias("i", "value")).select(
@@ -216,9 +231,9 @@ def estimate(vectors: DataFrame, settings: OutlierSettings) -> DataFrame:
     cut = chi2_quantile(settings.share, p)
     scale = settings.share / _chi2_cdf(cut, p + 2)  # the covariance of the closest share, made that of all
     for step in range(settings.steps):
-        far = rows.join(now.drop("n"), "level").select("level", "x", _distance("x", "centre", "inverse").alias("d"))
+        far = _meet(rows, now.drop("n"), "level", few, settings).select("level", "x", _distance("x", "centre", "inverse").alias("d"))
         far = far.withColumn("bin", F.floor(F.log2(1 + F.col("d")) * 256).cast("long"))
-        closest = far.join(_cut(far, ["level"], "bin", settings.share), "level").where("bin <= cut")
+        closest = _meet(far, _cut(far, ["level"], "bin", settings.share), "level", few, settings).where("bin <= cut")
         sums = closest.groupBy("level").agg(
             F.max("n").alias("n"),
             F.count("*").alias("members"),
@@ -231,12 +246,11 @@ def estimate(vectors: DataFrame, settings: OutlierSettings) -> DataFrame:
 
 def _judged(rows: DataFrame, estimates: DataFrame, settings: OutlierSettings) -> DataFrame:
     """Rows (doc, stats, levels) with ``distance`` and ``kept``; the finest level with an estimate decides."""
+    few = estimates.count() <= settings.broadcast_levels
     finest, estimates = rows, estimates.where(F.col("n") >= settings.min_rows)
     for k in range(3):
         one = estimates.select(F.col("level").alias(f"level_{k}"), F.struct("centre", "inverse").alias(f"estimate_{k}"))
-        if k == 2:  # all rows have this level, and it is one row
-            one = F.broadcast(one.where("level_2 = ''"))
-        finest = finest.withColumn(f"level_{k}", F.col("levels")[k]).join(one, f"level_{k}", "left").drop(f"level_{k}")
+        finest = _meet(finest.withColumn(f"level_{k}", F.col("levels")[k]), one, f"level_{k}", few, settings).drop(f"level_{k}")
     finest = finest.withColumn("estimate", F.coalesce("estimate_0", "estimate_1", "estimate_2"))
     limit = chi2_quantile(1 - settings.tail, len(FEATURES))
     failed = base_failed(settings)
