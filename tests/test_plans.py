@@ -48,7 +48,7 @@ def test_totals_are_partial_before_the_shuffle(spark):
     assert "SortAggregate" not in plan(stats.category_totals(star.events(spark, FOLDER)))
 
 
-@pytest.mark.parametrize("name", [n for n in REGISTRY if not n.startswith(("stream_", "stored_", "upsert_"))])
+@pytest.mark.parametrize("name", [n for n in REGISTRY if not n.startswith(("stream_", "stored_", "upsert_", "dimension_", "reload_"))])
 def test_no_pairwise_joins_and_no_python(spark, name):
     text = plan(REGISTRY[name].run(spark, FOLDER))
     for operator in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "PythonUDF"):

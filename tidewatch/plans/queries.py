@@ -22,9 +22,10 @@ from tidewatch.operators.parse import good_events, parse, rejected_events
 from tidewatch.plans.batch import all_alerts, rebuild_results
 from tidewatch.session import configure, new_folder
 from tidewatch.settings import RiskSettings
-from tidewatch.sinks.tables import append_alerts, read_alerts, read_stats, upsert_stats, write_batches
+from tidewatch.sinks.tables import append_alerts, create_or_truncate, read_alerts, read_stats, upsert_stats, write_batches
 from tidewatch.sources import star
 from tidewatch.sources.files import replay_table
+from tidewatch.sources.tables import RefreshedTable
 from tidewatch.streaming.jobs import RESULTS, start, watermarked
 
 HOUR = 3600
@@ -760,6 +761,39 @@ def upsert_stats_query(spark, folder):
     return read_stats(spark, path)
 
 
+@register(
+    "dimension_refresh",
+    f"WITH {USERS} SELECT user_id, user_name, version FROM users, (SELECT unnest([0, 1, 2]) AS version)",
+)
+def dimension_refresh_query(spark, folder):
+    """What a dimension publishes over 300 batches when it is read anew every hundred."""
+    path = new_folder(spark, "refresh")
+    versions = []
+
+    def publish(users: DataFrame) -> None:
+        users.select("user_id", "user_name").write.parquet(f"{path}/version={len(versions)}")
+        versions.append(users)
+
+    table = RefreshedTable(lambda: star.users(spark, folder), every=100, on_refresh=publish)
+    for batch_id in range(300):
+        table.at(batch_id)
+    return spark.read.parquet(path)
+
+
+@register("reload_tables", "SELECT p_type AS category, count(*) || ' products' AS description FROM part GROUP BY p_type")
+def reload_tables_query(spark, folder):
+    """The categories table created, loaded, emptied and loaded again."""
+    database = f"reload_{new_folder(spark, 'x').rpartition('-')[2]}"
+    rows = loading.with_defaults(star.categories(spark, folder), S.CATEGORIES)
+    done = []
+    for _ in range(2):
+        done.append(create_or_truncate(spark, database, {"categories": S.CATEGORIES}))
+        rows.write.insertInto(f"{database}.categories")
+    if done != ["created", "truncated"]:
+        raise RuntimeError(f"unexpected steps: {done}")
+    return spark.table(f"{database}.categories")
+
+
 @register(
     "orphan_report",
     f"""WITH {EV}, {KNOWN}
