@@ -46,6 +46,11 @@ def _runs(words: str, n: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
 
 
+def _hashes(words: str, n: Column) -> Column:
+    """A hash of every run of ``n`` words, without putting the run together."""
+    return F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.xxhash64(F.slice(words, i, n)))
+
+
 def _small(df: DataFrame, settings: LeakSettings) -> DataFrame:
     """``df`` to be sent to all tasks if it is below the bound; it must be a written table, for it is counted."""
     return F.broadcast(df) if df.count() <= settings.broadcast_rows else df
@@ -57,18 +62,15 @@ def _weighed(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _fingerprints(weighed: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, total weight, SimHash)."""
-    hashed = weighed.withColumn("hash", F.xxhash64("run"))
-    votes = [
-        F.sum(F.when(F.getbit("hash", F.lit(b)) == 1, F.col("weight")).otherwise(-F.col("weight"))).alias(f"bit_{b}")
-        for b in range(_BITS)
-    ]
-    summed = hashed.groupBy(*keys).agg(F.sum("weight").alias("total"), *votes)
-    bits = None
-    for b in range(_BITS):
-        one = F.shiftleft(F.when(F.col(f"bit_{b}") > 0, F.lit(1)).otherwise(0).cast("long"), b)
-        bits = one if bits is None else bits.bitwiseOR(one)
-    return summed.select(*keys, "total", bits.alias("print"))
+    """(keys, total weight, SimHash): a bit is set if the shingles whose hash has it weigh more than the others."""
+    bits = F.explode(F.sequence(F.lit(0), F.lit(_BITS - 1))).alias("bit")
+    votes = weighed.select(*keys, "weight", F.xxhash64("run").alias("hash"), bits)
+    summed = votes.groupBy(*keys, "bit").agg(
+        F.sum("weight").alias("total"), F.sum(F.expr("if(getbit(hash, bit) = 1, weight, -weight)")).alias("vote")
+    )
+    return summed.groupBy(*keys).agg(
+        F.max("total").alias("total"), F.expr("bit_or(if(vote > 0, shiftleft(1L, bit), 0L))").alias("print")
+    )
 
 
 def _blocks(fingerprint: str, radius: int) -> Column:
@@ -102,9 +104,8 @@ def matches(docs: DataFrame, items: DataFrame, settings: LeakSettings, text: str
     )
     item_keys = ["item_id", "n_words", "n"]
     item_runs = durable(listed.select(*item_keys, F.posexplode(_runs("words", F.col("n"))).alias("at", "run")), "leak-item-runs")
-    anchors = durable(
-        item_runs.select("n", F.xxhash64("run").alias("hash"), "n_words", "at").distinct(), "leak-anchors"
-    )
+    hashed = listed.select("n", "n_words", F.posexplode(_hashes("words", F.col("n"))).alias("at", "hash"))
+    anchors = durable(hashed.distinct(), "leak-anchors")
 
     # Shingles have as many words as the shortest items allow: five but for items with fewer.
     sizes = sorted(r.n for r in listed.select("n").distinct().collect())  # at most five numbers
@@ -113,7 +114,7 @@ def matches(docs: DataFrame, items: DataFrame, settings: LeakSettings, text: str
     found = None
     for n in sizes:
         runs = texts.where(F.size("words") >= n).select(
-            *_TEXT, F.posexplode(F.transform(_runs("words", F.lit(n)), lambda run: F.xxhash64(run))).alias("place", "hash")
+            *_TEXT, F.posexplode(_hashes("words", F.lit(n))).alias("place", "hash")
         )
         own = anchors.where(F.col("n") == n).drop("n")
         one = runs.join(F.broadcast(own) if few else own, "hash").select(*_TEXT, F.lit(n).alias("n"), "n_words", (F.col("place") - F.col("at")).alias("start"))
