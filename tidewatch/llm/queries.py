@@ -73,6 +73,26 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return link(table(spark, folder, "documents"))
 
 
+ORACLES["op5_jaccard_join"] = r"""WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingles AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS shingle FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT reached.doc_id, links.y FROM reached JOIN links ON links.x = reached.other
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
+
+
 @query
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.quality_classifier import classify
