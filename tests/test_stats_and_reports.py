@@ -40,15 +40,15 @@ def test_product_takes_first_category_that_is_not_empty(spark):
     assert found == {"P": "x", "Q": ""}
 
 
-@pytest.mark.parametrize("chunks", [None, 1, 5, 60])
-def test_running_totals(spark, chunks):
+@pytest.mark.parametrize("slice_ms", [1, 7, 40, 60_000])
+def test_running_totals(spark, slice_ms):
     random.seed(1)
     rows = [event(ms=random.randrange(40), seq=i, amount=random.randrange(10_000) / 100) for i in range(300)]
     total, expected = Decimal(0), {}
     for count, row in enumerate(sorted(rows, key=lambda r: (r[3], r[11])), start=1):
         total += Decimal(str(row[1]))
         expected[row[4]] = (total, count)
-    found = stats.running_totals(frame(spark, rows), chunks).collect()
+    found = stats.running_totals(frame(spark, rows), slice_ms).collect()
     assert {r.transaction_id: (r.total_amount, r.transaction_count) for r in found} == expected
 
 
