@@ -106,6 +106,54 @@ def test_scores_of_odd_rows(spark):
     assert masked_lm.score(empty, masked_lm.learn(empty)).count() == 0
 
 
+def test_words_of_a_bucket_are_told_apart(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    held = [r.text for r in docs.collect()]
+    counted = {}
+    for text in held:
+        for word in words(lower(text)):
+            counted[word] = counted.get(word, 0) + 1
+    rare = next(w for w, n in sorted(counted.items()) if n == 1 and len(w) > 4)
+    odd = [(1, rare), (2, "qqzz" + rare[-2:]), (3, None), (3, " "), (None, rare)]
+    more = spark.createDataFrame(odd, "doc_id long, text string")
+    every = docs.select("doc_id", "text").unionByName(more)
+
+    def bucket(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        at = np.array([0, max(0, len(data) - 2)])
+        whole, end = (span_hashes(data, at[k : k + 1], np.array([len(data)]))[0] for k in (0, 1))
+        return None if whole in model.classes.words else int(end % np.uint64(model.classes.buckets))
+
+    scores = {}
+    for sent in (1 << 18, 50):  # all words sent, and most of them joined
+        model = masked_lm.learn_words(docs, masked_lm.LmSettings(steps=20, sent_words=sent))
+        classes = [(r.doc_id, r.n_tokens, r.log_prob) for r in masked_lm.score(every, model.classes).collect()]
+        got = [(r.doc_id, r.n_tokens, r.log_prob) for r in masked_lm.score_words(every, model).collect()]
+        key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+        scores[sent] = sorted(got, key=key)
+        assert len(got) == len(classes)
+    for a, b in zip(*scores.values(), strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6 * max(1, -a[2])
+
+    sizes, kinds, at = {}, {}, {w: bucket(w) for w in counted}
+    for w, n in counted.items():
+        sizes[at[w]] = sizes.get(at[w], 0) + n
+        kinds[at[w]] = kinds.get(at[w], 0) + 1
+    by_id = {}
+    for d, n, s in classes:
+        by_id.setdefault((d, n), []).append(s)
+
+    def extra(text):
+        parts = [(counted.get(w, 0) + 0.5) / (sizes[b] + 0.5 * (kinds[b] + 1)) for w in words(lower(text)) if (b := at.get(w, bucket(w))) is not None]
+        return sum(map(math.log, parts))
+
+    want = {1: extra(rare), 2: extra(odd[1][1])}
+    one = {d: s for d, n, s in scores[50] if n == 1}
+    assert abs(one[1] - by_id[1, 1][0] - want[1]) < 1e-6 and abs(one[2] - by_id[2, 1][0] - want[2]) < 1e-6
+    assert one[2] < one[1] - 1  # an invented word with a seen ending scores below a seen word
+    assert one[None] == one[1]
+
+
 # --- quality
 
 

@@ -36,10 +36,10 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
-    from tidewatch.llm.masked_lm import learn, score
+    from tidewatch.llm.masked_lm import learn_words, score_words
 
     docs = table(spark, folder, "documents")
-    return score(docs, learn(docs))
+    return score_words(docs, learn_words(docs))
 
 
 @query
