@@ -69,6 +69,37 @@ def test_planted_passages_match_all_windows(spark):
     assert (100, 90) in want and len(want) > 10
 
 
+def test_moved_parts_match_all_windows(spark):
+    rand = random.Random(5)
+    vocab = [f"word{i}" for i in range(400)]
+    say = lambda n: [rand.choice(vocab) for _ in range(n)]
+    items = [(i, say(rand.choice([40, 60, 61, 90]))) for i in range(8)]
+    docs, swapped = [], set()
+    for d in range(40):
+        i, passage = items[d % 8]
+        passage, half = list(passage), len(passage) // 2
+        if d % 4 == 0:
+            passage = passage[half:] + passage[:half]
+            swapped.add((d, i))
+        elif d % 4 == 1:
+            for _ in range(rand.randint(1, 4)):
+                passage.insert(rand.randrange(len(passage)), "more")
+        elif d % 4 == 2:
+            at = rand.randrange(len(passage) - 6)
+            del passage[at : at + rand.randint(1, 6)]
+        else:
+            passage = passage[2 * half // 3 :] + passage[: 2 * half // 3] + passage[:half]
+        body = say(rand.choice([0, 30, 100]))
+        at = rand.randint(0, len(body))
+        body[at:at] = passage
+        docs.append((d, " ".join(body)))
+    items = [(i, " ".join(t)) for i, t in items]
+    want = brute(docs, items)
+    got = leaks(*rows(spark, docs, items)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+    assert len(swapped & want) >= 5 and len(want) > 15
+
+
 def test_odd_rows(spark):
     item = " ".join(f"q{i}" for i in range(20))
     long = " ".join(f"z{i}" for i in range(100_000)) + " " + item

@@ -1,8 +1,9 @@
 """Benchmark decontamination by SimHash of item-sized windows. DataFrame operations only.
 
-A window is a stretch of a document with as many words as a benchmark item. A window can only be like an item if they
-share a shingle, so windows are laid where a shingle of an item occurs, at the offset it has in the item; all others
-cannot reach any similarity. Each window and item gets a 64-bit SimHash of its weighted shingles. Cut into
+A window is a stretch of a document with as many words as a benchmark item. What a window shares with an item weighs no
+more than those of its places that hold a shingle of the item, wherever the item has it. Sums of these over the places
+of a text give every start from which a window can reach the similarity, and only those windows are laid, whatever
+the order of the item's parts in them. Each window and item gets a 64-bit SimHash of its weighted shingles. Cut into
 ``radius + 1`` blocks, two fingerprints within the radius agree in one block at least: windows meet the items of
 their length on equal blocks, pairs beyond the radius go, and the weighted Jaccard similarity of the rest is computed
 exactly from the shingles themselves.
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.session import durable
@@ -94,6 +95,36 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
     ).where("words is not null")
 
 
+def _starts(found: DataFrame, settings: LeakSettings) -> DataFrame:
+    """(text, n, n_words, start, room) of all windows that can be like an item, from the places that hold one of its
+    shingles (text, size, place, item, weight, needed). A window that weighs more than ``room`` cannot."""
+    keys = [*_TEXT, "size", "item_id", "n_words", "n", "needed"]
+    hits = durable(found.groupBy(*keys, "place").agg(F.max("weight").alias("weight")), "leak-hits")
+    # A window has n_words - n + 1 places. Places in units of that, less a half, so one frame fits items of all lengths.
+    reach = F.col("n_words") - F.col("n")
+    item = Window.partitionBy(*keys).orderBy("unit")
+    ahead = F.sum("weight").over(item.rangeBetween(0, 1))
+    with_unit = lambda df: df.withColumn("unit", F.col("place") / (reach + F.lit(0.5)))
+    # The windows whose first hit is this place, and which have enough ahead of it.
+    firsts = (
+        with_unit(hits)
+        .select(*keys, "place", ahead.alias("ahead"), F.lag("place").over(item).alias("last"))
+        .where(F.col("ahead") >= F.col("needed") * (1 - 1e-9))
+    )
+    lowest = F.greatest(F.col("last") + 1, F.col("place") - reach)
+    starts = durable(firsts.select(*keys, F.explode(F.sequence(lowest, F.col("place"))).alias("place")), "leak-starts")
+    # Windows that begin before the text and end behind it have the same words as the next.
+    starts = starts.where((F.col("place") >= 0) | (F.col("place") + F.col("n_words") <= F.col("size")))
+    held = hits.join(starts.select(*keys).distinct(), keys, "left_semi")
+    both = held.withColumn("start", F.lit(False)).unionByName(
+        starts.withColumns({"weight": F.lit(0), "start": F.lit(True)})
+    )
+    summed = with_unit(both).select(*keys, "place", "start", ahead.alias("hit")).where("start")
+    room = F.col("hit") + (F.col("hit") - F.col("needed")) / settings.similarity
+    enough = summed.where(F.col("hit") >= F.col("needed") * (1 - 1e-9))
+    return enough.groupBy(*_TEXT, "n", "n_words", F.col("place").alias("start")).agg((F.max(room) * (1 + 1e-9)).alias("room"))
+
+
 def matches(docs: DataFrame, items: DataFrame, settings: LeakSettings, text: str, item: str, item_text: str) -> DataFrame:
     """(text_hash, text_length, item_id, start_word, n_words, distance, similarity) of every window like an item."""
     listed = durable(
@@ -104,8 +135,10 @@ def matches(docs: DataFrame, items: DataFrame, settings: LeakSettings, text: str
     )
     item_keys = ["item_id", "n_words", "n"]
     item_runs = durable(listed.select(*item_keys, F.posexplode(_runs("words", F.col("n"))).alias("at", "run")), "leak-item-runs")
-    hashed = listed.select("n", "n_words", F.posexplode(_hashes("words", F.col("n"))).alias("at", "hash"))
-    anchors = durable(hashed.distinct(), "leak-anchors")
+    runs_of = F.arrays_zip(_hashes("words", F.col("n")).alias("hash"), F.transform(_runs("words", F.col("n")), F.length).alias("weight"))
+    placed = listed.select(*item_keys, F.explode(runs_of).alias("run")).select(*item_keys, "run.hash", "run.weight")
+    own_weights = placed.groupBy(*item_keys).agg((F.sum("weight") * settings.similarity).alias("needed"))
+    anchors = durable(placed.distinct().join(own_weights, item_keys), "leak-anchors")
 
     # Shingles have as many words as the shortest items allow: five but for items with fewer.
     sizes = sorted(r.n for r in listed.select("n").distinct().collect())  # at most five numbers
@@ -114,13 +147,13 @@ def matches(docs: DataFrame, items: DataFrame, settings: LeakSettings, text: str
     found = None
     for n in sizes:
         runs = texts.where(F.size("words") >= n).select(
-            *_TEXT, F.posexplode(_hashes("words", F.lit(n))).alias("place", "hash")
+            *_TEXT, F.size("words").alias("size"), F.posexplode(_hashes("words", F.lit(n))).alias("place", "hash")
         )
-        own = anchors.where(F.col("n") == n).drop("n")
-        one = runs.join(F.broadcast(own) if few else own, "hash").select(*_TEXT, F.lit(n).alias("n"), "n_words", (F.col("place") - F.col("at")).alias("start"))
+        own = anchors.where(F.col("n") == n)
+        one = runs.join(F.broadcast(own) if few else own, "hash").drop("hash")
         found = one if found is None else found.unionByName(one)
-    windows = found.distinct() if found is not None else anchors.sparkSession.createDataFrame(
-        [], "text_hash long, text_length int, n int, n_words int, start int"
+    windows = _starts(found, settings) if found is not None else anchors.sparkSession.createDataFrame(
+        [], "text_hash long, text_length int, n int, n_words int, start int, room double"
     )
     windows = durable(windows, "leak-windows")
 
@@ -129,9 +162,12 @@ def matches(docs: DataFrame, items: DataFrame, settings: LeakSettings, text: str
     held = durable(texts.join(_small(holders, settings), _TEXT, "left_semi").dropDuplicates(_TEXT), "leak-words")
     window_keys = [*_TEXT, "n", "n_words", "start"]
     cut = F.slice("words", F.greatest("start", F.lit(0)) + 1, F.col("n_words") + F.least("start", F.lit(0)))
-    pieces = held.join(windows, _TEXT).select(*window_keys, cut.alias("piece")).where(F.size("piece") >= F.col("n"))
+    pieces = held.join(windows, _TEXT).select(*window_keys, "room", cut.alias("piece")).where(F.size("piece") >= F.col("n"))
+    pieces = pieces.select(*window_keys, "room", _runs("piece", F.col("n")).alias("runs"))
+    weight = F.aggregate("runs", F.lit(0), lambda total, run: total + F.length(run))
     window_runs = durable(
-        _weighed(pieces.select(*window_keys, F.explode(_runs("piece", F.col("n"))).alias("run")), window_keys), "leak-window-runs"
+        _weighed(pieces.where(weight <= F.col("room")).select(*window_keys, F.explode("runs").alias("run")), window_keys),
+        "leak-window-runs",
     )
     item_weights = durable(_weighed(item_runs, item_keys), "leak-item-weights")
 
