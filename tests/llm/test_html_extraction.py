@@ -2,7 +2,9 @@ import html
 import random
 import re
 
-from tidewatch.llm.html_extraction import extract, laid_out, learn, listed, main_text, parse
+import numpy as np
+
+from tidewatch.llm.html_extraction import described, extract, laid_out, learn, listed, main_text, parse
 from tidewatch.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
@@ -46,6 +48,15 @@ def test_trees_of_broken_pages():
     assert [b.text for b in order if b.text] == ["a", "b <c>", "d e f", "g", "h", "i", "tail"]
 
 
+def test_places_and_neighbours_under_a_parent_of_many():
+    order = listed(parse("<div>" + "".join(f"<p>{'x' * (k + 1)}</p>" for k in range(300)) + "</div>"))
+    of = [k for k, b in enumerate(order) if b.tag == "p"]
+    place, before, after = described(order)[of][:, 11:14].T
+    assert np.allclose(place, np.arange(300) / 300)
+    assert np.allclose(before, np.log1p(np.arange(300)))
+    assert np.allclose(after, np.log1p([*range(2, 301), 0]))
+
+
 def test_odd_rows(spark):
     rows = [(1, "u", None, "x"), (2, None, "", "x"), (None, "u", "no tags", "x"), (4, "u", "<div>" * 3000 + "deep", "x")]
     rows += [(5, "u", "<p>" + "word " * 200_000, "x"), (5, "u", "<p>a</b></i><![x<", "x"), (6, "u", "<html></html>", "x")]

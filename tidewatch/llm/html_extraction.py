@@ -221,6 +221,7 @@ def listed(root: Block) -> list[Block]:
 def described(order: list[Block]) -> np.ndarray:
     """The features of every block."""
     whole = max(1, order[0].chars)
+    places = {id(item): at for block in order for at, item in enumerate(block.items)}
     rows, above = [], {}
     for block in order:
         parent = block.parent
@@ -232,7 +233,7 @@ def described(order: list[Block]) -> np.ndarray:
             tags = [max(a, block.tag in group) for a, group in zip(up_tags, TAG_GROUPS, strict=True)]
             siblings = parent.items
         above[id(block)] = (kinds, tags)
-        at = siblings.index(block) if len(siblings) < 200 else 100
+        at = places.get(id(block), 0)
         before = siblings[at - 1].chars if at else 0
         after = siblings[at + 1].chars if at + 1 < len(siblings) else 0
         rows.append(
