@@ -136,3 +136,10 @@ def op10_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
 
     mixed = mix(table(spark, folder, "documents"), keep=["doc_id"])
     return mixed.select("doc.doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
+@query
+def op13_bpe_stream(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.bpe_stream import round_trips
+
+    return round_trips(table(spark, folder, "documents"), word_tokenizer())
