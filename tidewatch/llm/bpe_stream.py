@@ -31,12 +31,13 @@ from tidewatch.llm.textbytes import LOWER, Texts, span_hashes, texts
 _UNITS = 1 << 19  # units, words and neighbours that a worker remembers; forgotten when full
 _WORDS = 1 << 17
 _PAIRS = 1 << 18
+_SHORT = 48  # symbols of a word that goes through the machine side by side with others
 _BLOCK = 1 << 16  # ids decoded at a time
 
 # The form of the tokenizer files that the encoder reads, and the ASCII part of its split pattern.
 _NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_ASCII_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_ASCII_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 ]+| ")
 
 
 def _byte_symbols() -> str:
@@ -186,6 +187,135 @@ class Transducer:
         return path
 
 
+def _gathered(flat: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The slices of ``flat`` one after the other."""
+    total = np.cumsum(counts)
+    return flat[np.repeat(begins - total + counts, counts) + np.arange(total[-1] if len(total) else 0)]
+
+
+class SideBySide:
+    """The same machine for many short words at once: all of them advance by one symbol at a time, in numpy.
+
+    Tokens are vocabulary ids here. The tokens that end at a place are found in a trie of reversed tokens.
+    """
+
+    def __init__(self, merges: Merges, ids: dict[str, int]):
+        self.longest, mark = merges.longest, merges.ends
+        n = self.n = max(ids.values()) + 1
+        self.rank, self.size = np.full(n, -1), np.ones(n, np.int64)
+        self.left, self.right = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for token, (rank, left, right) in merges.made.items():
+            at = ids[token]
+            self.rank[at], self.left[at], self.right[at], self.size[at] = rank, ids[left], ids[right], merges.size(token)
+        made = np.flatnonzero(self.rank >= 0)
+        pairs = self.left[made] * n + self.right[made]
+        sort = np.argsort(pairs)
+        self.pairs, self.pair_ranks = np.append(pairs[sort], -1), np.append(self.rank[made][sort], -1)
+
+        symbol = {s: b for b, s in enumerate(BYTE_SYMBOLS)}
+        self.symbols = np.zeros(0x200, np.int64)
+        self.symbols[[ord(s) for s in BYTE_SYMBOLS]] = np.arange(256)
+        edges: dict[int, int] = {}
+        token_at = [-1]
+        atoms = [s + m for s in BYTE_SYMBOLS for m in {"", mark}]
+        for token in (*atoms, *merges.whole):
+            body = token[: merges.size(token)]
+            node, shift = 0, 256 if len(body) < len(token) or not mark else 0
+            for c in reversed(body):
+                key = node * 512 + symbol[c] + (shift if mark else 0)
+                shift = 0
+                if key not in edges:
+                    edges[key] = len(token_at)
+                    token_at.append(-1)
+                node = edges[key]
+            token_at[node] = ids[token]
+        self.mark = 256 if mark else 0
+        self.token_at = np.array(token_at)
+        keys = np.array([*edges], np.int64)
+        sort = np.argsort(keys)
+        self.edges, self.child = np.append(keys[sort], -1), np.append(np.array([*edges.values()])[sort], 0)
+        self.known = np.full(1 << 20, -1, np.int64)
+        self.known_fits = np.zeros(1 << 20, bool)
+
+    def _find(self, table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(table[:-1], keys)
+        return at, table[at] == keys
+
+    def _apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        out, todo = np.ones(len(left), bool), np.arange(len(left))
+        left_until, right_until = np.full(len(left), self.n), np.full(len(left), self.n)
+        while len(todo):
+            at, found = self._find(self.pairs, left * self.n + right)
+            rank = self.pair_ranks[at]
+            joins = found & (rank < left_until) & (rank <= right_until)
+            out[todo[joins]] = False
+            of_left, of_right = self.rank[left], self.rank[right]
+            go = ~joins & ((of_left >= 0) | (of_right >= 0))
+            undo = of_left >= of_right
+            left_until, right_until = np.where(undo, of_left, left_until)[go], np.where(undo, right_until, of_right)[go]
+            left, right = np.where(undo, self.right[left], left)[go], np.where(undo, right, self.left[right])[go]
+            todo = todo[go]
+        return out
+
+    def _fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether the tokens may be neighbours; the pairs met last are remembered."""
+        keys = left * self.n + right
+        slots = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+        out = self.known_fits[slots]
+        missing = np.flatnonzero(self.known[slots] != keys)
+        if len(missing):
+            new, which = np.unique(keys[missing], return_inverse=True)
+            fits = self._apart(new // self.n, new % self.n)
+            out[missing] = fits[which]
+            self.known[slots[missing]] = keys[missing]
+            self.known_fits[slots[missing]] = out[missing]
+            again = missing[self.known[slots[missing]] != keys[missing]]  # pairs that share a slot: the last one stays
+            self.known[slots[again]] = -1
+        return out
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        codes = self.symbols[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        ends = np.cumsum(sizes)
+        codes[ends - 1] += self.mark
+        order = np.argsort(-sizes, kind="stable")
+        begins, long = (ends - sizes)[order], sizes[order]
+        last = np.full((len(words), int(long[0]) + 1), -1, np.int64)
+        for end in range(1, int(long[0]) + 1):
+            word = np.arange(int(np.searchsorted(-long, -end, "right")))
+            node = np.zeros(len(word), np.int64)
+            for size in range(1, min(end, self.longest) + 1):
+                at, found = self._find(self.edges, node * 512 + codes[begins[word] + end - size])
+                word, node = word[found], self.child[at[found]]
+                token = self.token_at[node]
+                some = np.flatnonzero(token >= 0)
+                if size < end:
+                    some = some[self._fits(last[word[some], end - size], token[some])]
+                last[word[some], end] = token[some]
+                more = np.ones(len(word), bool)
+                more[some] = False
+                word, node = word[more], node[more]
+                if not len(word):
+                    break
+        place, word, path = long.copy(), np.arange(len(words)), []
+        while len(word):
+            token = last[word, place[word]]
+            path.append((word, token))
+            place[word] -= self.size[token]
+            word = word[place[word] > 0]
+        counts = np.zeros(len(words), np.int64)
+        for word, _ in path:
+            counts[word] += 1
+        in_order = np.empty(len(words), np.int64)
+        in_order[order] = counts
+        tail = np.cumsum(in_order)[order] - 1
+        out = np.empty(int(counts.sum()), np.int32)
+        for step, (word, token) in enumerate(path):
+            out[tail[word] - step] = token
+        return out, in_order
+
+
 class Encoder:
     """Ids of texts, by a tokenizer file that lowers case, drops white space and merges bytes inside words.
 
@@ -226,8 +356,8 @@ class Encoder:
         self.special = special
         self.special_split = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.special_bytes = np.unique([ord(s[0]) for s in special if s[0] < "\x80"]).astype(np.uint8)
-        self.machine = Transducer(self.merges)
-        self.words: dict[str, list[int]] = {}
+        self.machine, self.many = Transducer(self.merges), SideBySide(self.merges, self.ids)
+        self._forget_parts()
         self._forget()
 
     def _forget(self) -> None:
@@ -236,35 +366,81 @@ class Encoder:
         self.counts = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
-    def _parts(self, text: str) -> list[str]:
-        """The parts that merges work in, in symbols of bytes."""
-        if text.isascii():
-            text = text.lower()
-            if text.isprintable():
-                return _ASCII_SPLIT.findall(text)
-        return [part for part, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
-
-    def _word(self, text: str) -> Iterator[int]:
-        for part in self._parts(text):
-            ids = self.words.get(part)
-            if ids is None:
-                ids = [self.ids[t] for t in self.machine.feed(part) + self.machine.finish()]
-                if len(self.words) >= _WORDS:
-                    self.words.clear()
-                if len(part) < 64:
-                    self.words[part] = ids
-            yield from ids
+    def _forget_parts(self) -> None:
+        self.parts: dict[str, int] = {}
+        self.part_begins, self.part_counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.part_flat = np.zeros(0, np.int32)
+
+    def _split(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The parts of words that have no white space, and how many each word has. Many are split as one text:
+        what a space separates is normalized and split by itself."""
+        joined = " ".join(words)
+        if joined.isascii() and joined.isprintable():
+            found = _ASCII_SPLIT.findall(joined.lower())
+            spaces = np.flatnonzero(np.fromiter((p == " " for p in found), bool, len(found)))
+            return [p for p in found if p != " "], np.diff(np.concatenate([[-1], spaces, [len(found)]])) - 1
+        if joined.split() == words:
+            normal = self.normalizer.normalize_str(joined)
+            pieces = self.splitter.pre_tokenize_str(normal)
+            spaces = [k for k, c in enumerate(normal) if c == " "]
+            begins = np.fromiter((span[0] for _, span in pieces), np.int64, len(pieces))
+            cuts = np.searchsorted(begins, np.array(spaces, np.int64))
+            return [p for p, _ in pieces], np.diff(np.concatenate([[0], cuts, [len(pieces)]]))
+        if len(words) == 1:  # white space of other kinds inside the word
+            pieces = [p for p, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(words[0]))]
+            return pieces, np.array([len(pieces)])
+        half = len(words) // 2
+        a, b = self._split(words[:half]), self._split(words[half:])
+        return a[0] + b[0], np.concatenate([a[1], b[1]])
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encodes parts that are not known yet."""
+        short = [p for p in parts if len(p) <= _SHORT]
+        flat, counts = [], []
+        if short:
+            ids, n = self.many.encode(short)
+            flat.append(ids)
+            counts.append(n)
+        long = [p for p in parts if len(p) > _SHORT]
+        for part in long:
+            ids = [self.ids[t] for t in self.machine.feed(part) + self.machine.finish()]
+            flat.append(np.array(ids, np.int32))
+            counts.append(np.array([len(ids)], np.int64))
+        first = len(self.parts)
+        self.parts.update(zip([*short, *long], range(first, first + len(parts)), strict=True))
+        n = np.concatenate(counts)
+        self.part_begins = np.concatenate([self.part_begins, len(self.part_flat) + np.cumsum(n) - n])
+        self.part_counts = np.concatenate([self.part_counts, n])
+        self.part_flat = np.concatenate([self.part_flat, *flat])
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words without white space or special tokens, one after the other, and how many each has."""
+        parts, owned = [], []
+        for begin in range(0, len(words), 512):
+            some, n = self._split(words[begin : begin + 512])
+            parts += some
+            owned.append(n)
+        new = [p for p in dict.fromkeys(parts) if p not in self.parts]
+        if new and len(self.parts) + len(new) > _WORDS:
+            self._forget_parts()
+            new = list(dict.fromkeys(parts))
+        if new:
+            self._learn(new)
+        at = np.fromiter(map(self.parts.__getitem__, parts), np.int64, len(parts))
+        ids, counts = _gathered(self.part_flat, self.part_begins[at], self.part_counts[at]), self.part_counts[at]
+        total = np.concatenate([[0], np.cumsum(counts)])
+        ends = np.cumsum(np.concatenate(owned))
+        return ids, np.diff(total[ends], prepend=0)
 
     def encode(self, text: str) -> list[int]:
         """The ids of one text."""
-        if not self.special_split:
-            return list(self._word(text))
+        pieces = self.special_split.split(text) if self.special_split else [text]
         out: list[int] = []
-        for k, piece in enumerate(self.special_split.split(text)):
+        for k, piece in enumerate(pieces):
             if k % 2:
                 out.append(self.special[piece])
-            else:
-                out.extend(self._word(piece))
+            elif words := piece.split(" "):
+                out.extend(self.encode_words([w for w in words if w] or [""])[0].tolist())
         return out
 
     def encode_rows(self, part: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -274,26 +450,33 @@ class Encoder:
             return np.zeros(0, np.int32), np.zeros(part.rows, np.int64)
         data = LOWER[part.data]
         hits = np.flatnonzero(np.isin(part.data, self.special_bytes))
-        for w in np.unique(np.searchsorted(starts, hits, "right") - 1):  # a special token may be inside: case counts
+        marked = np.unique(np.searchsorted(starts, hits, "right") - 1)
+        for w in marked:  # a special token may be inside: case counts
             data[starts[w] : ends[w]] = part.data[starts[w] : ends[w]]
         keys, first, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.keys) + len(keys) > _UNITS:
             self._forget()
         new = np.flatnonzero(~np.isin(keys, self.keys, assume_unique=True))
         if len(new):
-            raw = data.tobytes()
-            coded = [self.encode(raw[starts[i] : ends[i]].decode("utf-8", "replace")) for i in first[new]]
-            counts = np.array([len(c) for c in coded], np.int64)
+            raw, special = data.tobytes(), np.isin(first[new], marked)
+            ascending = np.argsort((data[starts[first[new]]] >= 0x80) + 2 * special, kind="stable")  # like with like
+            new, special = new[ascending], int(special.sum())
+            words = [raw[starts[i] : ends[i]].decode("utf-8", "replace") for i in first[new]]
+            flat, counts = self.encode_words(words[: len(words) - special]) if len(words) > special else ([], [])
+            odd = [self.encode(w) for w in words[len(words) - special :]]
+            counts = np.concatenate([counts, np.array([len(ids) for ids in odd], np.int64)]).astype(np.int64)
+            begins = len(self.flat) + np.cumsum(counts) - counts
+            self.flat = np.concatenate([self.flat, flat, np.array([i for ids in odd for i in ids], np.int32)]).astype(np.int32)
+            sort = np.argsort(new)
+            new, begins, counts = new[sort], begins[sort], counts[sort]
             at = np.searchsorted(self.keys, keys[new])
             self.keys = np.insert(self.keys, at, keys[new])
-            self.begins = np.insert(self.begins, at, len(self.flat) + np.cumsum(counts) - counts)
+            self.begins = np.insert(self.begins, at, begins)
             self.counts = np.insert(self.counts, at, counts)
-            self.flat = np.concatenate([self.flat, np.array([i for c in coded for i in c], np.int32)])
         at = np.searchsorted(self.keys, keys)
         begins, counts = self.begins[at][which], self.counts[at][which]
         total = np.concatenate([[0], np.cumsum(counts)])
-        place = np.repeat(begins - total[:-1], counts) + np.arange(total[-1])
-        return self.flat[place], np.diff(total[np.searchsorted(rows, np.arange(part.rows + 1))])
+        return _gathered(self.flat, begins, counts), np.diff(total[np.searchsorted(rows, np.arange(part.rows + 1))])
 
 
 class Decoder:
@@ -331,8 +514,7 @@ class Decoder:
         """The text that the ids make certain."""
         ids = np.where((ids >= 0) & (ids < len(self.counts) - 1), ids, len(self.counts) - 1)
         counts = self.counts[ids]
-        total = np.concatenate([[0], np.cumsum(counts)])
-        raw = self.flat[np.repeat(self.begins[ids] - total[:-1], counts) + np.arange(total[-1])].tobytes()
+        raw = _gathered(self.flat, self.begins[ids], counts).tobytes()
         if raw and self.skip:
             raw, self.skip = raw[self.skip :], 0
         return self.utf8.decode(raw)

@@ -143,3 +143,10 @@ def op13_bpe_stream(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.bpe_stream import round_trips
 
     return round_trips(table(spark, folder, "documents"), word_tokenizer())
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.periodic_runs import run_digests
+
+    return run_digests(table(spark, folder, "documents"))
