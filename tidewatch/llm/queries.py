@@ -150,3 +150,41 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.periodic_runs import run_digests
 
     return run_digests(table(spark, folder, "documents"))
+
+
+@query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.collocations import collocations
+
+    return collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), phrases AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM words, range(1, 6) AS sizes(k) WHERE len(w) >= k
+), counted AS (SELECT lang, k, phrase, count(*) AS f FROM phrases GROUP BY 1, 2, 3
+), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY 1
+), frequent AS (SELECT * FROM counted WHERE f >= 100
+), cuts AS (
+  SELECT lang, k, phrase, f AS a, j, array_to_string(string_split(phrase, ' ')[1:j], ' ') AS x,
+    array_to_string(string_split(phrase, ' ')[j + 1:k], ' ') AS y
+  FROM frequent, range(1, 5) AS places(j) WHERE j < k
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.j, p.f AS l, q.f AS r, n, ((1000::HUGEINT * c.a * n) // (p.f::HUGEINT * q.f))::BIGINT AS score
+  FROM cuts c JOIN counted p ON p.lang = c.lang AND p.phrase = c.x JOIN counted q ON q.lang = c.lang AND q.phrase = c.y
+  JOIN totals t ON t.lang = c.lang
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inside AS (
+  SELECT DISTINCT s.lang, s.phrase FROM frequent s JOIN frequent g ON g.lang = s.lang AND g.k > s.k AND g.f >= s.f
+    AND contains(' ' || g.phrase || ' ', ' ' || s.phrase || ' ') WHERE s.k >= 2
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest ANTI JOIN inside USING (lang, phrase)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
