@@ -83,3 +83,21 @@ def test_odd_rows(spark):
     out = remixed(docs)
     assert out.columns == docs.columns and out.where("source = 'a' or source = 'b'").count() == 0
     assert mix(docs.where("source = 'b'")).select("taken", "target").collect()[0] == (0, 0.0)
+
+
+@pytest.mark.parametrize("id", [7, None])
+def test_many_equal_rows(spark, id):
+    """Of 3,000 equal rows, which no id tells apart, none is lost, and all sources come near their targets."""
+    data = [(id, 10, "a")] * 3000 + [(k, 10, "a") for k in range(100, 1700)]
+    data += [(k, 7 + k % 3, "b") for k in range(1, 400)] + [(None, 4, "c")] * 1500 + [(5, 4, "c")] * 20 + [(3, 9, "b")] * 3
+    docs = spark.createDataFrame([(i, " ".join(["w"] * n), s) for i, n, s in data], "doc_id long, text string, source string")
+    for parts in (3, 7):
+        got = mix(docs.repartition(parts), keep=["doc_id", "source"]).select("doc.*", "size", "taken", "target").collect()
+        assert sorted((str(r.doc_id), r.size, r.source) for r in got) == sorted((str(i), n, s) for i, n, s in data)
+        for s in "abc":
+            mine = [r for r in got if r.source == s]
+            assert abs(sum(r.taken for r in mine) - mine[0].target) <= 10
+        counts = sorted((str(r.doc_id), r.size, r.source, r.taken) for r in got)
+        assert parts == 3 or counts == before
+        before = counts
+    assert remixed(docs).columns == docs.columns

@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 import numpy as np
 
@@ -66,3 +67,10 @@ def test_odd_rows(spark):
     assert len(got) == 7 and all(r.n_chars == len(r.text) for r in got)
     assert [r.text for r in got if r.page_id in (1, 2, 6)] == ["", "", ""]
     assert extract(pages.limit(0), learn(pages.limit(0))).count() == 0
+
+
+def test_pages_of_tags_that_are_never_closed():
+    begin = time.process_time()
+    for page in ("<p>x" + "<b>" * 100_000 + "</i>" * 100_000, "<i><div>" + "<b>" * 100_000 + "y" + "</i>" * 100_000 + "z"):
+        assert "".join(b.text for b in listed(parse(page))) in ("x", "yz")
+    assert time.process_time() - begin < 30  # it was quadratic: an hour

@@ -178,9 +178,7 @@ def plan(thin: DataFrame, settings: MixSettings) -> DataFrame:
         )
     )
     rated = durable(rated, "mix-rates")
-    drawn = thin.join(rated.select("source_key", "size", "parts"), ["source_key", "size"]).select(
-        "source_key", "size", F.pmod("draw", "parts").alias("part"), "draw"
-    )
+    drawn = _celled(thin, rated.where("parts > 1").select("source_key", "size", "parts"), settings)
     counts = drawn.groupBy("source_key", "size", "part").agg(F.count("*").alias("docs"))
     down = Window.partitionBy("source_key").orderBy(F.desc("size"), "part").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.col("docs") * F.col("micro")).over(down), F.lit(0))
@@ -200,13 +198,48 @@ def plan(thin: DataFrame, settings: MixSettings) -> DataFrame:
         .withColumn("more", passed(F.col("at")) - F.col("docs") * F.col("copies"))
     )
     shares = durable(shares.drop("at", "start", "micro"), "mix-shares")
-    shares = _evened(shares, settings)
-    chosen = drawn.join(shares.where("more > 0").select("source_key", "size", "part", "more"), ["source_key", "size", "part"])
-    rank = F.row_number().over(Window.partitionBy("source_key", "size", "part").orderBy("draw"))
-    last = chosen.withColumn("rank", rank).where("rank = more").select("source_key", "size", "part", F.col("draw").alias("last"))
-    return durable(
-        shares.drop("docs", "more").join(last, ["source_key", "size", "part"], "left"), "mix-plan"
-    )
+    shares = _split(_evened(shares, settings), drawn)
+    cell = ["source_key", "size", "part", "sub"]
+    chosen = drawn.join(shares.where("more > 0").select(*cell, "more"), cell)
+    at = F.struct("draw", "row")
+    rank = F.row_number().over(Window.partitionBy(*cell).orderBy(at))
+    last = chosen.withColumn("rank", rank).where("rank = more").select(*cell, at.alias("last"))
+    return durable(shares.drop("docs", "more").join(last, cell, "left"), "mix-plan")
+
+
+def _celled(rows: DataFrame, crowded: DataFrame, settings: MixSettings) -> DataFrame:
+    """Rows with the ``part`` of their source and size that they are drawn in, and a ``sub`` of it.
+
+    A crowded size, one of more than ``cell_rows`` documents, is cut by the draws. Equal documents have equal draws:
+    where these alone are more than that, they are a part of their own, cut into subs by row. Which of them gets
+    a copy more makes no difference.
+    """
+    key = ["source_key", "size"]
+    many = rows.join(_sent(crowded, settings), key).groupBy(*key, "draw").agg(F.count("*").alias("n"))
+    many = many.where(F.col("n") > settings.cell_rows)
+    twins = durable(many.select(*key, "draw", F.ceil(F.col("n") / settings.cell_rows).cast("long").alias("subs")), "mix-twins")
+    joined = rows.join(_sent(crowded, settings), key, "left").join(_sent(twins, settings), [*key, "draw"], "left")
+    own = F.col("subs").isNotNull()
+    part = F.when(own, -1 - F.shiftrightunsigned("draw", 1)).otherwise(F.pmod("draw", F.coalesce("parts", F.lit(1).cast("long"))))
+    sub = F.when(own, F.pmod("row", "subs")).otherwise(F.lit(0).cast("long"))
+    return joined.withColumns({"part": part, "sub": sub}).drop("parts", "subs")
+
+
+def _sent(small: DataFrame, settings: MixSettings) -> DataFrame:
+    """A table by cells, marked for sending to all tasks if it is small enough."""
+    return F.broadcast(small) if small.limit(settings.broadcast_cells + 1).count() <= settings.broadcast_cells else small
+
+
+def _split(shares: DataFrame, drawn: DataFrame) -> DataFrame:
+    """The shares by sub: those of a part of equal documents get of its ``more`` in proportion to their rows."""
+    key = ["source_key", "size", "part"]
+    subs = drawn.where("part < 0").groupBy(*key, "sub").agg(F.count("*").alias("n"))
+    up = Window.partitionBy(*key).orderBy("sub").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    subs = subs.withColumn("up_to", F.sum("n").over(up))
+    passed = lambda at: F.floor(at.cast("decimal(19,0)") * F.col("more") / F.col("docs"))
+    more = passed(F.col("up_to")) - passed(F.col("up_to") - F.col("n"))
+    equal = shares.where("part < 0").join(subs, key).withColumn("more", more.cast("long")).drop("n", "up_to")
+    return durable(shares.where("part >= 0").withColumn("sub", F.lit(0).cast("long")).unionByName(equal), "mix-subs")
 
 
 def mix(
@@ -221,25 +254,24 @@ def mix(
     ``target`` of its source, ``rate``, ``copies`` and ``taken`` = copies * size.
 
     Null and blank texts have size 0, rate 0 and no copies. Null is a source, and so is a source without words, which
-    has target 0. Rows that repeat an id, source and size get the same number of copies. Other columns, whatever
-    their names, do not matter; an empty table gives no rows.
+    has target 0. Documents of one size are told apart by their id and text; equal ones, or all with a null id and the
+    same text, count one by one, and as many of them as their rate says get a copy more. Other columns, whatever their
+    names, do not matter; an empty table gives no rows.
     """
     kept = docs.columns if keep is None else keep
     rows = docs.select(
         F.struct(*[docs[c] for c in kept]).alias("doc"),
-        F.xxhash64(docs[id].cast("string")).alias("draw"),
+        F.xxhash64(docs[id].cast("string"), docs[text].cast("string")).alias("draw"),
+        F.monotonically_increasing_id().alias("row"),
         docs[source].cast("string").alias("source"),
         F.coalesce(F.regexp_count(docs[text].cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     ).withColumn("source_key", _key(F.col("source")))
-    cells = plan(durable(rows.select("draw", "source", "source_key", "size"), "mix-sizes"), settings)
-    crowded = cells.where("part = 0 and parts > 1").select("source_key", "size", "parts")
-    cells = cells.drop("parts")
-    if cells.count() <= settings.broadcast_cells:
-        cells, crowded = F.broadcast(cells), F.broadcast(crowded)
-    part = F.pmod("draw", F.coalesce("parts", F.lit(1).cast("long")))
-    joined = rows.join(crowded, ["source_key", "size"], "left").withColumn("part", part)
-    joined = joined.join(cells, ["source_key", "size", "part"])
-    copies = F.col("copies") + F.coalesce(F.col("draw") <= F.col("last"), F.lit(False)).cast("int")
+    rows = durable(rows, "mix-rows")  # a row's number must stay what it is
+    cells = plan(rows.drop("doc"), settings)
+    crowded = cells.where("parts > 1").select("source_key", "size", "parts").distinct()
+    joined = _celled(rows, crowded, settings)
+    joined = joined.join(_sent(cells.drop("parts"), settings), ["source_key", "size", "part", "sub"])
+    copies = F.col("copies") + F.coalesce(F.struct("draw", "row") <= F.col("last"), F.lit(False)).cast("int")
     return joined.withColumn("copies", copies).select(
         "doc", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )

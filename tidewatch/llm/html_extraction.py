@@ -104,11 +104,13 @@ class _Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Block("#root", None)
         self.open: list[tuple[str, Block | None]] = []  # every open element, with its block if it is one
+        self.places: dict[str, list[int]] = {}  # where in it the elements of each name are
         self.block = self.root
         self.run: Block | None = None
         self.unseen = self.links = 0
 
     def _enter(self, tag: str, block: Block | None) -> None:
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append((tag, block))
         if block is not None:
             self.block, self.run = block, None
@@ -116,6 +118,7 @@ class _Reader(HTMLParser):
     def _leave(self, keep: int) -> None:
         while len(self.open) > keep:
             tag, block = self.open.pop()
+            self.places[tag].pop()
             if tag == "a":
                 self.links -= 1
             if tag in UNSEEN:
@@ -123,12 +126,14 @@ class _Reader(HTMLParser):
             if block is not None:
                 self.block, self.run = block.parent, None
 
+    def _newest(self, tags) -> int:
+        """Where the newest open element of these names is."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
     def _close(self, tags, stop) -> None:
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] in tags:
-                return self._leave(k)
-            if self.open[k][0] in stop:
-                return None
+        place = self._newest(tags)
+        if place >= 0 and place >= self._newest(stop):
+            self._leave(place)
 
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body"):
@@ -455,11 +460,14 @@ def _all(block: Block) -> Iterator[Block]:
 
 
 def learn(pages: DataFrame, settings: ExtractSettings = ExtractSettings(), html: str = "html") -> Trees:
-    """Trees from the ``sample_pages`` first pages by the hash of their content, of those that are not too long. Where
-    no page marks its article there is nothing to learn, and every block is as likely main text as not."""
+    """Trees from the ``sample_pages`` first different pages by the hash of their content, of those that are not too
+    long. They are chosen by hash alone, so only the chosen ones leave their partitions. Where no page marks its article
+    there is nothing to learn, and every block is as likely main text as not."""
     body = pages.select(pages[html].cast("string").alias("html")).where(F.col("html").isNotNull() & (F.length("html") <= settings.page_chars))
-    some = body.orderBy(F.xxhash64("html"), "html").limit(settings.sample_pages)
-    return fit(*training_rows([r.html for r in some.collect()], settings), settings.boost)
+    body = body.withColumn("name", F.xxhash64("html"))
+    chosen = body.select("name").distinct().orderBy("name").limit(settings.sample_pages)
+    some = body.join(F.broadcast(chosen), "name", "left_semi").groupBy("name").agg(F.min("html").alias("html"))
+    return fit(*training_rows([r.html for r in some.orderBy("name").collect()], settings), settings.boost)
 
 
 def main_text(html: str, trees: Trees) -> str:

@@ -403,6 +403,14 @@ def link(docs: DataFrame, settings: JoinSettings = JoinSettings(), id: str = "do
 
 def keep_first(docs: DataFrame, settings: JoinSettings = JoinSettings(), id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id names their component: one document of each group, and all that are alone.
-    Rows without an id stay. Of rows that repeat the id of a kept document all stay."""
-    away = link(docs, settings, id, text).where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(away, docs[id].cast("long") == F.col("gone"), "left_anti")
+
+    Rows without an id stay. Of rows that repeat the id of a kept document, those with different texts stay, and of
+    those with equal ones the smallest row stays. Columns may have any name.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), docs[id].cast("long").alias("key"), docs[text].cast("string").alias("said"))
+    away = link(docs, settings, id, text).where("component_id <> doc_id").select(F.col("doc_id").alias("key")).distinct()
+    again = rows.where("key IS NOT NULL").groupBy("key").count().where("count > 1").select("key").join(away, "key", "left_anti")
+    again = durable(again, "jaccard-repeated")
+    once = rows.join(away.unionByName(again), "key", "left_anti").select("doc.*")
+    first = rows.join(again, "key", "left_semi").groupBy("key", "said").agg(F.min("doc").alias("doc"))
+    return once.unionByName(first.select("doc.*"))
