@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def replayed(spark, tmp_path_factory):
     stream = (
         spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
     )
-    queries = start_results(stream, f"{root}/out", settings=SETTINGS, trigger=ONCE)
+    queries = start_results(stream, f"{root}/out", settings=SETTINGS, trigger=ONCE, files_per_trigger=1)
     for query in queries.values():
         query.awaitTermination()
     return events, f"{root}/out", queries
@@ -94,7 +95,7 @@ def test_messages_reach_their_topics(spark, replayed):
     last = spark.read.text(f"{out}/topics/total_amount_and_count_events/*/batch_id=3").first()[0]
     total = stats.overall_totals(events).first()
     assert f'"total_amount":{float(total[0])},"transaction_count":{total[1]},' in last
-    assert queries.keys() == RESULTS.keys()
+    assert queries.keys() == RESULTS.keys() | {"feed"}
 
 
 def event(user, ms, seq, amount=1.0, ip="1.1.1.1"):
@@ -196,3 +197,73 @@ def test_upsert_twice_gives_one_row(spark, tmp_path):
 def test_replay_table_streams_one_file(spark):
     stream = replay_table(spark, "/root/testdata/sf0.001", "events.parquet")
     assert stream.isStreaming and "props" in stream.columns
+
+
+def test_the_input_is_read_once_for_all_results(spark, replayed, tmp_path):
+    """Of ten queries one reads the input, the others the columns they need of the feed; results stay the same."""
+    events, out, queries = replayed
+    n = events.count()
+    read = {name: sum(p["numInputRows"] for p in query.recentProgress) for name, query in queries.items()}
+    assert read["feed"] == n and set(read.values()) == {n}
+    for name, query in queries.items():
+        of_feed = {s["description"] for p in query.recentProgress for s in p["sources"]}
+        assert len(of_feed) == 1 and (f"{out}/events" in next(iter(of_feed))) == (name != "feed")
+    alone = start_results(
+        spark.readStream.schema(EVENT_SCHEMA).parquet(f"{out}/../in/*"), f"{tmp_path}", names=("failed_surge",),
+        settings=SETTINGS, trigger=ONCE, shared=False,
+    )
+    alone["failed_surge"].awaitTermination()
+    assert rows_of(read_alerts(spark, f"{tmp_path}/alerts")) == rows_of(read_alerts(spark, f"{out}/alerts/detector=failed_surge"))
+    assert "feed" not in alone
+
+
+@pytest.mark.parametrize("window", [5000, 50, 100_000])
+def test_burst_state_by_blocks(window):
+    """The processor alone, against the row-at-a-time rule: many triggers, events late by more than a window."""
+    from tidewatch.streaming.stateful import Bursts
+
+    class Value:
+        value, calls = None, 0
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Blocks(dict):
+        calls = 0
+
+        def getValue(self, key):
+            Blocks.calls += 1
+            return self.get(key)
+
+        def updateValue(self, key, value):
+            Blocks.calls += 1
+            self[key] = value
+
+        def containsKey(self, key):
+            return key in self
+
+        def removeKey(self, key):
+            del self[key]
+
+    random.seed(window)
+    rows = [event("u", 1_000_000 + seq * 37 - random.choice([0, 0, 0, 5, 900, 3000, window, 2 * window]), seq) for seq in range(3000)]
+    processor = Bursts(window, 3, 0)
+    processor._summary, processor._blocks, found, seq = Value(), Blocks(), [], 0
+    most = 0
+    while seq < len(rows):
+        some = rows[seq : seq + random.randint(1, 60)]
+        seq += len(some)
+        frame_of = pd.DataFrame({"seq": [r[11] for r in some], "timestamp": [r[3] for r in some], "transaction_id": [r[4] for r in some]})
+        before = Blocks.calls
+        for out in processor.handleInputRows(("u",), iter([frame_of]), None):
+            found += list(out.itertuples(index=False, name=None))
+        if len(some) == 1:
+            most = max(most, Blocks.calls - before)
+        blocks, counts = processor._summary.value
+        assert sorted(blocks) == blocks == sorted(k[0] for k in processor._blocks)
+        assert counts == [sum(processor._blocks[b,][1]) for b in blocks]
+    assert sorted(found) == arrival_model(rows, window, 3)
+    assert most <= 4  # one event reads and writes the block it is in and the one that is leaving

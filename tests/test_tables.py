@@ -1,6 +1,6 @@
 """Loading, checks, sources and sinks."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -8,20 +8,25 @@ from pyspark.sql import functions as F
 
 from tests.rows import event, frame
 from tidewatch import schemas as S
-from tidewatch.operators import enrich, loading, quality, stats
+from tidewatch.operators import detectors, enrich, loading, quality, stats
 from tidewatch.plans.batch import rebuild_results
 from tidewatch.sinks.messages import each_of, to_text
 from tidewatch.sinks.tables import (
+    append_alerts,
+    compact_alerts,
     compact_stats,
     create_or_truncate,
+    folders,
     is_there,
     read_alerts,
+    read_newest_stats,
     read_stats,
     upsert_stats,
 )
 from tidewatch.sources.kafka import kafka_options
 from tidewatch.sources.tables import RefreshedTable, read_table
-from tidewatch.streaming.jobs import enriching, loading_facts
+from tidewatch.streaming.facts import check_facts, read_facts, read_rejects, start_fact_load, store_facts
+from tidewatch.streaming.jobs import enriching
 
 NOON = datetime(2024, 1, 1, 12)
 FACT = "transaction_id string, user_id string, product_id string, category string, amount double, event_time timestamp, seq long"
@@ -204,14 +209,99 @@ def test_kafka_options():
     }
 
 
-def test_loaded_batches_may_be_repeated(spark, dimensions, tmp_path):
-    users, products, categories = (RefreshedTable(lambda d=d: d) for d in dimensions)
-    load = loading_facts(f"{tmp_path}/facts", f"{tmp_path}/rejects", users, products, categories)
+def load_runs(spark, dimensions, root, batches):
+    """One run of the load per batch of facts."""
+    tables = [RefreshedTable(lambda d=d: d) for d in dimensions]
+    for number, rows in enumerate(batches):
+        rows.coalesce(1).write.parquet(f"{root}/in/{number}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in/*")
+        start_fact_load(stream, f"{root}/out", *tables, trigger={"availableNow": True})
+
+
+def test_facts_of_a_stream_are_taken_once(spark, dimensions, tmp_path):
+    batches = [
+        facts(spark, ("t1", "u1", "p1", "c1", 1.0, NOON, 0), ("t2", "ux", "p1", "c1", 1.0, NOON, 1), ("t1", "u1", "p1", "c1", 5.0, NOON, 2)),
+        facts(spark, ("t1", "u1", "p1", "c1", 9.0, NOON, 3), ("t2", "u1", "p1", "c1", 2.0, NOON, 4), ("t3", "u1", "p1", "c1", 3.0, NOON, 5)),
+        facts(spark, ("t3", "u1", "p1", "c1", 7.0, NOON, 6), ("t3", "u1", "p1", "c1", 8.0, NOON, 7)),
+    ]
+    load_runs(spark, dimensions, tmp_path, batches)
+    stored = read_facts(spark, f"{tmp_path}/out").orderBy("transaction_id").collect()
+    assert [(r.transaction_id, r.amount) for r in stored] == [("t1", 1), ("t2", 2), ("t3", 3)]
+    rejects = read_rejects(spark, f"{tmp_path}/out").orderBy("seq").collect()
+    again = "duplicate transaction_id"
+    assert [(r.seq, r.reason) for r in rejects] == [(1, "no such user_id"), (2, again), (3, again), (6, again), (7, again)]
+
+
+def test_repeated_batches_of_a_load(spark, dimensions, tmp_path):
+    """A batch that is repeated after its folders were written leaves no row twice, in either step."""
+    root, tables = f"{tmp_path}/out", [RefreshedTable(lambda d=d: d) for d in dimensions]
     first = facts(spark, ("t1", "u1", "p1", "c1", 1.0, NOON, 0), ("t2", "ux", "p1", "c1", 1.0, NOON, 1))
     second = facts(spark, ("t1", "u1", "p1", "c1", 9.0, NOON, 2), ("t2", "u1", "p1", "c1", 2.0, NOON, 3))
-    for number, batch in ((0, first), (1, second), (1, second)):
-        load(batch, number)
-    stored = spark.read.parquet(f"{tmp_path}/facts").orderBy("transaction_id").collect()
-    assert [(r.transaction_id, r.amount, r.batch_id) for r in stored] == [("t1", 1, 0), ("t2", 2, 1)]
-    rejects = spark.read.parquet(f"{tmp_path}/rejects").orderBy("seq").collect()
+    seen = "transaction_id string, first bigint, last bigint"
+    for _ in range(2):
+        check_facts(root, *tables)(first, 0)
+    for batch_id in (0, 1):  # the load is met twice, as its files were written twice
+        store_facts(root)(spark.createDataFrame([("t1", 0, 0)], seen), batch_id)
+    check_facts(root, *tables)(second, 1)
+    for batch_id in (2, 2):
+        store_facts(root)(spark.createDataFrame([("t1", 0, 1), ("t2", 1, 1)], seen), batch_id)
+    store_facts(root)(spark.createDataFrame([], seen), 3)
+    stored = read_facts(spark, root).orderBy("transaction_id").collect()
+    assert [(r.transaction_id, r.amount) for r in stored] == [("t1", 1), ("t2", 2)]
+    rejects = read_rejects(spark, root).orderBy("seq").collect()
     assert [(r.seq, r.reason) for r in rejects] == [(1, "no such user_id"), (2, "duplicate transaction_id")]
+
+
+def test_a_load_reads_its_own_rows_only(spark, dimensions, tmp_path):
+    """However much is stored, a trigger opens the files of its own loads, and writes files for its own days."""
+    rows = [(f"t{k}", "u1", "p1", "c1", 1.0, NOON + timedelta(days=k % 5), k) for k in range(500)]
+    load_runs(spark, dimensions, tmp_path, [facts(spark, *rows[:490]), facts(spark, *rows[480:])])
+    assert read_facts(spark, f"{tmp_path}/out").count() == 500
+    assert read_rejects(spark, f"{tmp_path}/out").count() == 10
+    files = spark.read.parquet(f"{tmp_path}/out/facts").where("load = 1").select(F.input_file_name()).distinct().count()
+    assert files <= 5
+
+
+def test_newest_statistics_open_the_newest_days(spark, tmp_path):
+    path = f"{tmp_path}/stats"
+    day = 86_400_000
+    for batch in range(6):
+        rows = [event(ms=batch * 2 * day + k * 3_600_000, seq=k, amount=float(batch + 1)) for k in range(30)]
+        upsert_stats(path, "a")(stats.window_totals(frame(spark, rows)), batch)
+    days = sorted(folders(spark, path, "day="), reverse=True)
+    assert len(days) >= 11
+    newest = read_newest_stats(spark, path, 20)
+    opened = {f.split("day=")[1].split("/")[0] for f in newest.inputFiles()}
+    assert opened <= set(days[:4]) and newest.count() >= 20
+    whole = read_stats(spark, path).orderBy(F.desc("window_start")).limit(20).collect()
+    assert newest.orderBy(F.desc("window_start")).limit(20).collect() == whole
+    assert read_newest_stats(spark, path, 10**6).count() == read_stats(spark, path).count() == 180
+    none = read_newest_stats(spark, path, 5, "category = 'none'")
+    assert none.count() == 0
+
+
+def test_alerts_put_together_between_batches(spark, tmp_path):
+    path = f"{tmp_path}/alerts"
+
+    def append(detector, batch, amount):
+        rows = frame(spark, [event(ms=batch * 1000 + k, seq=k, amount=amount) for k in range(3)])
+        append_alerts(path, detector, "main")(detectors.large_amount(rows), batch)
+
+    def check(n):
+        rows = read_alerts(spark, path).collect()
+        assert len(rows) == n == len({(r.amount, r.alert_time, r.transaction_id) for r in rows})
+
+    append("a", 0, 6000.0), append("a", 1, 6000.0), append("b", 0, 7000.0)
+    check(9)
+    compact_alerts(spark, path)
+    check(9)
+    append("a", 1, 6000.0)  # repeated after it was taken
+    append("a", 2, 6000.0), append("c", 0, 8000.0)
+    check(15)
+    compact_alerts(spark, path, clear=True)
+    check(15)
+    assert folders(spark, path, "detector=a/run=main/batch_id=") == ["2"]
+    append("b", 1, 7000.0)
+    compact_alerts(spark, path, clear=True)
+    check(18)
+    assert len(folders(spark, path, "_compacted/version=")) == 2

@@ -22,11 +22,21 @@ from tidewatch.operators.parse import good_events, parse, rejected_events
 from tidewatch.plans.batch import all_alerts, rebuild_results
 from tidewatch.session import configure, new_folder
 from tidewatch.settings import RiskSettings
-from tidewatch.sinks.tables import append_alerts, create_or_truncate, read_alerts, read_stats, upsert_stats, write_batches
+from tidewatch.sinks.messages import to_text
+from tidewatch.sinks.tables import (
+    compact_alerts,
+    create_or_truncate,
+    read_alerts,
+    read_newest_stats,
+    read_stats,
+    upsert_stats,
+    write_batches,
+)
 from tidewatch.sources import star
-from tidewatch.sources.files import replay_table
+from tidewatch.sources.files import replay_arrivals, write_arrivals
 from tidewatch.sources.tables import RefreshedTable
-from tidewatch.streaming.jobs import RESULTS, start, watermarked
+from tidewatch.streaming.facts import read_facts, start_fact_load
+from tidewatch.streaming.jobs import RESULTS, enriching, start, start_results, watermarked
 
 HOUR = 3600
 SAMPLE = RiskSettings(
@@ -549,39 +559,20 @@ def stored_stats_history_query(spark, folder):
     return reports.stats_history(stored_results(spark, folder)[1])
 
 
-@register(
-    "stream_risk_alerts",
-    f"WITH {ALERTS} SELECT * FROM alert_rows WHERE alert_type = 'LARGE_AMOUNT'",
-)
-def stream_risk_alerts_query(spark, folder):
-    """Alerts as a stream appends them to the table, read from the table."""
-    path = new_folder(spark, "alerts")
-    events = watermarked(star.adapt_events(replay_table(spark, folder, "events.parquet")), SAMPLE)
-    alerts = RESULTS["large_amount"].build(events, SAMPLE)
-    once = {"availableNow": True}
-    start(alerts, append_alerts(path, "large_amount", "query"), f"{path}-checkpoint", trigger=once).awaitTermination()
-    return read_alerts(spark, path)
-
-
 # --- enrichment and messages -------------------------------------------------------------------------
 
-# The users table has the customers whose number is a nation's too, so that most events and lines have no user row.
-KNOWN = f"{USERS}, known AS (SELECT 'user_' || n_nationkey AS user_id FROM nation)"
+# Suppliers are the users that are known; the events have users besides.
+KNOWN = """known AS (
+  SELECT 'user_' || s_suppkey AS user_id, '10.0.' || (s_suppkey % 30 // 10) || '.' || (s_suppkey % 10 + 1) AS ip_address
+  FROM supplier
+)"""
 ENRICHED = f"""{EV}, {KNOWN}, enriched AS (
   SELECT ev.transaction_id, ev.user_id, ev.product_id, ev.category, ev.amount, 'purchase' AS transaction_type,
-         ev.result, t, CASE WHEN known.user_id IS NULL THEN '0.0.0.0' ELSE users.ip_address END AS ip_address,
-         coalesce(p_name, 'unknown') AS product_name
-  FROM ev LEFT JOIN known ON known.user_id = ev.user_id LEFT JOIN users ON users.user_id = ev.user_id
-  LEFT JOIN part ON 'prod_' || p_partkey = ev.product_id
+         ev.result, t, coalesce(known.ip_address, '0.0.0.0') AS ip_address, coalesce(p_name, 'unknown') AS product_name
+  FROM ev LEFT JOIN known ON known.user_id = ev.user_id LEFT JOIN part ON 'prod_' || p_partkey = ev.product_id
 )"""
 
 
-def known_users(spark: SparkSession, folder: str) -> DataFrame:
-    nations = spark.read.parquet(f"{folder}/nation.parquet")
-    known = nations.select(F.concat(F.lit("user_"), F.col("n_nationkey").cast("string")).alias("user_id"))
-    return star.users(spark, folder).join(known, "user_id", "left_semi")
-
-
 def event_facts(spark: SparkSession, folder: str) -> DataFrame:
     columns = [f for f in S.TRANSACTIONS.schema.fieldNames() if f != "process_time"]
     return star.events(spark, folder).select(*columns)
@@ -589,7 +580,7 @@ def event_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 def enriched_events(spark: SparkSession, folder: str) -> DataFrame:
     return enrich.enrich_transactions(
-        event_facts(spark, folder), known_users(spark, folder), star.products(spark, folder)
+        event_facts(spark, folder), star.supplier_users(spark, folder), star.products(spark, folder)
     )
 
 
@@ -667,18 +658,18 @@ def result_feed_query(spark, folder):
 # --- loading and quality -----------------------------------------------------------------------------
 
 LINE_FACTS = f"""facts AS (
-  SELECT 'txn_' || l_orderkey AS transaction_id, 'user_' || l_suppkey AS user_id,
+  SELECT 'txn_' || l_orderkey AS transaction_id, 'user_' || l_partkey AS user_id,
          'prod_' || l_partkey AS product_id, p_type AS category,
          CAST(l_extendedprice AS DECIMAL(12,2)) AS amount,
          CASE WHEN l_returnflag = 'R' THEN 'refund' ELSE 'purchase' END AS transaction_type,
          CASE WHEN l_linestatus = 'O' THEN 'processing' ELSE 'success' END AS result,
          l_shipdate AS event_time, l_linenumber, l_partkey, l_suppkey
   FROM lineitem LEFT JOIN part ON p_partkey = l_partkey
-), {KNOWN}, stored AS (
+), stored AS (
   SELECT 'txn_' || event_id AS transaction_id FROM events
 ), reasons AS (
-  SELECT facts.*, CASE WHEN known.user_id IS NULL THEN 'no such user_id' END AS reason
-  FROM facts LEFT JOIN known ON known.user_id = facts.user_id
+  SELECT facts.*, CASE WHEN c_custkey IS NULL THEN 'no such user_id' END AS reason
+  FROM facts LEFT JOIN customer ON 'user_' || c_custkey = facts.user_id
 ), checked AS (
   SELECT reasons.* EXCLUDE (reason), coalesce(reason, CASE WHEN stored.transaction_id IS NOT NULL OR
       row_number() OVER (PARTITION BY reasons.transaction_id, reason
@@ -691,7 +682,7 @@ LINE_FACTS = f"""facts AS (
 def checked_lines(spark: SparkSession, folder: str) -> DataFrame:
     return loading.check_references(
         star.line_facts(spark, folder),
-        known_users(spark, folder),
+        star.users(spark, folder),
         star.products(spark, folder),
         star.categories(spark, folder),
     )
@@ -801,22 +792,21 @@ SELECT 'user_id' AS column_name, user_id AS value, count(*) AS "count" FROM ev
 WHERE user_id NOT IN (SELECT user_id FROM known) GROUP BY user_id""",
 )
 def orphan_report_query(spark, folder):
-    return quality.orphan_report(event_facts(spark, folder), "user_id", known_users(spark, folder))
+    return quality.orphan_report(event_facts(spark, folder), "user_id", star.supplier_users(spark, folder))
 
 
 @register(
     "remove_orphans",
-    f"""WITH {EV}, {KNOWN}
-SELECT transaction_id, user_id,
-  CASE WHEN product_id IN (SELECT 'prod_' || n_nationkey FROM nation) THEN product_id END AS product_id
-FROM ev WHERE user_id IN (SELECT user_id FROM known)""",
+    f"""WITH {LINE_FACTS}
+SELECT transaction_id, user_id, CASE WHEN s_suppkey IS NOT NULL THEN product_id END AS product_id
+FROM facts JOIN customer ON 'user_' || c_custkey = user_id LEFT JOIN supplier ON 'prod_' || s_suppkey = product_id""",
 )
 def remove_orphans_query(spark, folder):
-    """Facts after the users (cascade) and products (set null) whose number is no nation's were deleted."""
+    """Order lines after the users that are no customers (cascade) and the products with no supplier's number (set null)
+    were deleted."""
     to_users, to_products, _ = S.TRANSACTIONS.foreign_keys
-    nations = spark.read.parquet(f"{folder}/nation.parquet")
-    products = nations.select(F.concat(F.lit("prod_"), F.col("n_nationkey").cast("string")).alias("product_id"))
-    kept = quality.remove_orphans(event_facts(spark, folder), to_users, known_users(spark, folder))
+    products = star.supplier_users(spark, folder).select(F.regexp_replace("user_id", "user_", "prod_").alias("product_id"))
+    kept = quality.remove_orphans(star.line_facts(spark, folder), to_users, star.users(spark, folder))
     return quality.remove_orphans(kept, to_products, products).select("transaction_id", "user_id", "product_id")
 
 
@@ -852,21 +842,35 @@ def outside_domain_query(spark, folder):
     return quality.outside_domain(rows, "account_type", S.DOMAINS["users"]["account_type"])
 
 
-# --- streams: the whole events table replayed -------------------------------------------------------
+# --- streams: the whole events table replayed, in three arrivals ---------------------------------------
 
 # A window is out once the watermark, two seconds behind the newest event, has passed its end.
 CLOSED = "(SELECT epoch_ms(max(t) - 2000) FROM ev)"
+ARRIVALS = 3
+# The third of the time an event is in. With late ones, every tenth event comes with the next arrival.
+THIRD = "(3 * (t - first_t)) // (last_t - first_t + 1)"
+LATE = f"least(2, {THIRD} + CASE WHEN seq % 10 = 0 THEN 1 ELSE 0 END)"
 
 
-def replay(spark: SparkSession, folder: str, name: str, settings: RiskSettings) -> DataFrame:
-    """Run one streaming result over all events there are, and read what it wrote."""
+def arrived_events(spark: SparkSession, folder: str, late: bool = False) -> DataFrame:
+    """Events with the ``arrival`` they come with."""
+    events = star.events(spark, folder)
+    first, last = events.agg(F.min("timestamp"), F.max("timestamp")).first()
+    third = F.expr(f"(3 * (timestamp - {first})) div ({last} - {first} + 1)")
+    late_by = F.when(F.col("seq") % 10 == 0, 1).otherwise(0) if late else F.lit(0)
+    return events.withColumn("arrival", F.least(F.lit(ARRIVALS - 1), third + late_by))
+
+
+def replay(spark: SparkSession, folder: str, name: str, settings: RiskSettings, late: bool = False) -> DataFrame:
+    """Run one streaming result over all events there are, a trigger per arrival, and read what it wrote."""
     result = RESULTS[name]
     out = new_folder(spark, f"replay-{name}")
     # State keeps its number of partitions for good, so it is set for the cluster and not left to a default.
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     try:
-        events = watermarked(star.adapt_events(replay_table(spark, folder, "events.parquet")), settings)
+        write_arrivals(arrived_events(spark, folder, late), "arrival", f"{out}/in", range(ARRIVALS))
+        events = watermarked(replay_arrivals(spark, f"{out}/in", S.EVENT_SCHEMA), settings)
         start(
             result.build(events, settings),
             write_batches(f"{out}/rows", "replay"),
@@ -876,22 +880,26 @@ def replay(spark: SparkSession, folder: str, name: str, settings: RiskSettings)
         ).awaitTermination()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    return spark.read.parquet(f"{out}/rows").drop("run", "batch_id")
+    return spark.read.parquet(f"{out}/rows").drop("run")
+
+
+def replayed(spark: SparkSession, folder: str, name: str, settings: RiskSettings, late: bool = False) -> DataFrame:
+    return replay(spark, folder, name, settings, late).drop("batch_id")
 
 
 @register("stream_large_amount", f"WITH {EV} {LARGE_SQL.format(source='ev', limit='200.0')}")
 def stream_large_amount_query(spark, folder):
-    return replay(spark, folder, "large_amount", SAMPLE)
+    return replayed(spark, folder, "large_amount", SAMPLE)
 
 
 @register("stream_high_frequency", f"WITH {EV}, {DAY_BURSTS} {DAY_BURST_SQL}")
 def stream_high_frequency_query(spark, folder):
-    return replay(spark, folder, "high_frequency", SAMPLE)
+    return replayed(spark, folder, "high_frequency", SAMPLE)
 
 
 @register("stream_continuous_increase", f"WITH {EV}, {RUNS} {GROWTH_SQL}")
 def stream_continuous_increase_query(spark, folder):
-    return replay(spark, folder, "continuous_increase", SAMPLE)
+    return replayed(spark, folder, "continuous_increase", SAMPLE)
 
 
 @register(
@@ -899,7 +907,7 @@ def stream_continuous_increase_query(spark, folder):
     f"WITH {EV}, alerts AS ({SURGE_SQL}) SELECT * FROM alerts WHERE window_end <= {CLOSED}",
 )
 def stream_failed_surge_query(spark, folder):
-    return replay(spark, folder, "failed_surge", SAMPLE)
+    return replayed(spark, folder, "failed_surge", SAMPLE)
 
 
 @register(
@@ -907,7 +915,7 @@ def stream_failed_surge_query(spark, folder):
     f"WITH {EV}, {SHARED}, alerts AS ({SHARED_SQL}) SELECT * FROM alerts WHERE window_end <= {CLOSED}",
 )
 def stream_ip_sharing_query(spark, folder):
-    return replay(spark, folder, "ip_sharing", SAMPLE)
+    return replayed(spark, folder, "ip_sharing", SAMPLE)
 
 
 @register(
@@ -919,16 +927,18 @@ WHERE epoch_ms(w + 3600000) <= {CLOSED}""",
 )
 def stream_ip_sharing_members_query(spark, folder):
     """The users behind the alerts, from what two streams have stored."""
-    users = replay(spark, folder, "ip_sharing_users", SAMPLE).selectExpr(
+    users = replayed(spark, folder, "ip_sharing_users", SAMPLE).selectExpr(
         "window.start AS window_start", "window.end AS window_end", "ip_address", "user_id"
     )
-    alerts = replay(spark, folder, "ip_sharing", SAMPLE)
+    alerts = replayed(spark, folder, "ip_sharing", SAMPLE)
     return users.join(alerts, ["window_start", "window_end", "ip_address"], "left_semi")
 
 
 @register("stream_running_totals", f"WITH {EV} SELECT {TOTALS} FROM ev")
 def stream_running_totals_query(spark, folder):
-    return replay(spark, folder, "running_totals", SAMPLE).distinct()
+    """The total that the last trigger gave."""
+    totals = replay(spark, folder, "running_totals", SAMPLE)
+    return totals.agg(*[F.max_by(c, "batch_id").alias(c) for c in ("total_amount", "transaction_count")])
 
 
 @register(
@@ -937,7 +947,7 @@ def stream_running_totals_query(spark, folder):
 WHERE is_total AND window_end <= {CLOSED}""",
 )
 def stream_window_totals_query(spark, folder):
-    return replay(spark, folder, "window_totals", SAMPLE)
+    return replayed(spark, folder, "window_totals", SAMPLE)
 
 
 @register(
@@ -946,7 +956,7 @@ def stream_window_totals_query(spark, folder):
 WHERE NOT is_total AND window_end <= {CLOSED}""",
 )
 def stream_category_totals_query(spark, folder):
-    return replay(spark, folder, "category_totals", SAMPLE)
+    return replayed(spark, folder, "category_totals", SAMPLE)
 
 
 @register(
@@ -957,4 +967,124 @@ SELECT epoch_ms(t - t % 3600000) AS window_start, epoch_ms(t - t % 3600000 + 360
 FROM ev GROUP BY t - t % 3600000, product_name HAVING window_end <= {CLOSED}""",
 )
 def stream_product_totals_query(spark, folder):
-    return replay(spark, folder, "product_totals", RiskSettings(stats_window_seconds=HOUR))
+    return replayed(spark, folder, "product_totals", RiskSettings(stats_window_seconds=HOUR))
+
+
+@register(
+    "stream_late_rows",
+    f"""WITH {EV}, arriving AS (
+  SELECT ev.*, {LATE} AS arrival FROM ev, (SELECT min(t) AS first_t, max(t) AS last_t FROM ev)
+), marks AS (
+  SELECT n AS arrival, (SELECT max(t) - 2000 FROM arriving WHERE arrival < n - 1) AS mark FROM range(0, 3) AS numbers(n)
+)
+SELECT epoch_ms(t - t % 3600000) AS window_start, epoch_ms(t - t % 3600000 + 3600000) AS window_end, {TOTALS}
+FROM arriving JOIN marks USING (arrival) WHERE mark IS NULL OR t - t % 3600000 + 3600000 > mark
+GROUP BY t - t % 3600000 HAVING window_end <= {CLOSED}""",
+)
+def stream_late_rows_query(spark, folder):
+    """Window totals where every tenth event comes with the next arrival. A trigger leaves out what the watermark of the
+    one before it had closed, so those of the second arrival count and those of the third don't."""
+    return replayed(spark, folder, "window_totals", RiskSettings(stats_window_seconds=HOUR), late=True)
+
+
+@register(
+    "stream_risk_alerts",
+    f"""WITH {ALERTS} SELECT * FROM alert_rows
+WHERE alert_type NOT IN ('FAILED_SURGE', 'IP_SHARING') OR window_end <= {CLOSED}""",
+)
+def stream_risk_alerts_query(spark, folder):
+    """The alerts of all detectors as streams over one feed append them to one table, put together between the runs."""
+    out = new_folder(spark, "alerts")
+    names = ("large_amount", "high_frequency", "continuous_increase", "failed_surge", "ip_sharing")
+    rows = arrived_events(spark, folder)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    try:
+        for numbers in (range(ARRIVALS - 1), range(ARRIVALS - 1, ARRIVALS)):
+            write_arrivals(rows, "arrival", f"{out}/in", numbers)
+            events = replay_arrivals(spark, f"{out}/in", S.EVENT_SCHEMA)
+            for query in start_results(events, out, names=names, settings=SAMPLE, trigger={"availableNow": True}).values():
+                query.awaitTermination()
+            compact_alerts(spark, f"{out}/alerts", clear=True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    return read_alerts(spark, f"{out}/alerts")
+
+
+@register(
+    "stream_stats_history",
+    f"""WITH {EV}, {STATS} SELECT window_start, window_end, category, total_amount, transaction_count FROM stats
+WHERE window_end <= {CLOSED} ORDER BY window_start DESC, window_end, category, total_amount, transaction_count LIMIT 200""",
+)
+def stream_stats_history_query(spark, folder):
+    """The newest windows of the statistics that two streams have stored, read from the newest days."""
+    path = new_folder(spark, "stats")
+    for name in ("window_totals", "category_totals"):
+        upsert_stats(path, name)(replayed(spark, folder, name, SAMPLE), 0)
+    return reports.stats_history(read_newest_stats(spark, path, 200))
+
+
+@register(
+    "stream_load_facts",
+    f"""WITH {LINE_FACTS}, sound AS (
+  SELECT facts.*, row_number() OVER (PARTITION BY transaction_id
+    ORDER BY l_linenumber % 3, l_linenumber, l_partkey, l_suppkey, amount, event_time) AS place
+  FROM facts JOIN customer ON 'user_' || c_custkey = user_id
+)
+SELECT transaction_id, user_id, product_id, category, CAST(amount AS DOUBLE) AS amount, transaction_type,
+  result, event_time FROM sound WHERE place = 1""",
+)
+def stream_load_facts_query(spark, folder):
+    """Order lines loaded in three arrivals, over which most orders repeat."""
+    out = new_folder(spark, "facts")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    try:
+        lines = star.line_facts(spark, folder).withColumn("arrival", F.col("seq.l_linenumber") % ARRIVALS)
+        write_arrivals(lines, "arrival", f"{out}/in", range(ARRIVALS))
+        schema = spark.read.parquet(f"{out}/in/arrival-0").schema
+        start_fact_load(
+            replay_arrivals(spark, f"{out}/in", schema),
+            out,
+            RefreshedTable(lambda: star.users(spark, folder)),
+            RefreshedTable(lambda: star.products(spark, folder)),
+            RefreshedTable(lambda: star.categories(spark, folder)),
+            period="year",
+            trigger={"availableNow": True},
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    return read_facts(spark, out).drop("period", "process_time")
+
+
+@register(
+    "stream_enriched",
+    f"""WITH {EV}, {KNOWN}, arriving AS (
+  SELECT ev.*, {THIRD} AS arrival FROM ev, (SELECT min(t) AS first_t, max(t) AS last_t FROM ev)
+)
+SELECT '{{"transaction_id":"' || transaction_id || '","user_id":"' || arriving.user_id || '","product_id":"' || product_id
+  || '","category":"' || category || '","amount":' || CAST(amount AS VARCHAR) || ',"transaction_type":"purchase"'
+  || ',"result":"' || result || '","ip_address":"' || CASE WHEN arrival < 1 THEN '0.0.0.0'
+  ELSE coalesce(known.ip_address, '0.0.0.0') END || '","product_name":"' || coalesce(p_name, 'unknown')
+  || '","timestamp":' || t || '}}' AS value
+FROM arriving LEFT JOIN known ON known.user_id = arriving.user_id LEFT JOIN part ON 'prod_' || p_partkey = product_id""",
+)
+def stream_enriched_query(spark, folder):
+    """Event messages of a stream whose users come to be known between the first trigger and the second."""
+    out = new_folder(spark, "enriched")
+    columns = [f for f in S.TRANSACTIONS.schema.fieldNames() if f != "process_time"]
+    write_arrivals(arrived_events(spark, folder).select(*columns, "arrival"), "arrival", f"{out}/in", range(ARRIVALS))
+    facts = replay_arrivals(spark, f"{out}/in", spark.read.parquet(f"{out}/in/arrival-0").schema)
+    suppliers = star.supplier_users(spark, folder)
+    suppliers.limit(0).write.parquet(f"{out}/users")
+    users = RefreshedTable(lambda: spark.read.schema(suppliers.schema).parquet(f"{out}/users"), every=1)
+    products = RefreshedTable(lambda: star.products(spark, folder))
+    write = to_text(f"{out}/messages", lambda messages: messages)
+
+    def enrich_and_learn(batch: DataFrame, batch_id: int) -> None:
+        enriching(users, products, write)(batch, batch_id)
+        if not batch_id:
+            suppliers.write.mode("overwrite").parquet(f"{out}/users")
+
+    start(facts, enrich_and_learn, f"{out}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    return spark.read.text(f"{out}/messages").select("value")

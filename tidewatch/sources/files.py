@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.operators.parse import parse
 
@@ -30,3 +32,18 @@ def replay_table(
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(folder)
+
+
+def write_arrivals(rows: DataFrame, arrival: str, path: str, numbers: range, files: int = 4) -> None:
+    """Put ``rows`` down in the order they arrive: those of each number of the column ``arrival`` in a folder of
+    ``files`` files, one folder after the other."""
+    for number in numbers:
+        some = rows.where(F.col(arrival) == number).drop(arrival).repartition(files)
+        some.write.mode("overwrite").parquet(f"{path}/arrival-{number}")
+
+
+def replay_arrivals(spark: SparkSession, path: str, schema: T.StructType, files: int = 4) -> DataFrame:
+    """The stream of what ``write_arrivals`` has put down, a number per trigger. Numbers need so many rows that none of
+    their files is empty."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    return reader.parquet(f"{path}/arrival-*")

@@ -81,6 +81,18 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def supplier_users(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers as users. The events have users that are no supplier's."""
+    suppliers = spark.read.parquet(f"{folder}/supplier.parquet")
+    return suppliers.select(
+        _key("user_", "s_suppkey").alias("user_id"),
+        F.col("s_name").alias("user_name"),
+        _address(F.pmod("s_suppkey", F.lit(_ADDRESS_POOL))).alias("ip_address"),
+        F.lit("normal").alias("account_type"),
+        F.lit(None).cast("string").alias("device"),
+    )
+
+
 def products(spark: SparkSession, folder: str) -> DataFrame:
     parts = spark.read.parquet(f"{folder}/part.parquet")
     return parts.select(
@@ -101,15 +113,16 @@ def categories(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as facts to load. The transaction id is the order, so orders with several lines repeat it;
-    the category is the product's type. ``seq`` orders the lines of an order."""
+    """Line items as facts to load. The transaction id is the order, so orders with several lines repeat it; the user
+    has the number of the part, and there are more parts than customers; the category is the product's type. ``seq``
+    orders the lines of an order."""
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     types = products(spark, folder).select("product_id", "category")
     priced = F.col("l_extendedprice").cast("decimal(12,2)")
     seq = F.struct("l_linenumber", "l_partkey", "l_suppkey", priced.alias("price"), "l_shipdate")
     return lines.select(
         _key("txn_", "l_orderkey").alias("transaction_id"),
-        _key("user_", "l_suppkey").alias("user_id"),
+        _key("user_", "l_partkey").alias("user_id"),
         _key("prod_", "l_partkey").alias("product_id"),
         priced.alias("amount"),
         F.when(F.col("l_returnflag") == "R", "refund").otherwise("purchase").alias("transaction_type"),

@@ -1,6 +1,7 @@
 """Streaming queries: one per result, each with its own checkpoint, over the same parsed events.
 
-One query per result keeps a slow or failing one from holding up the others.
+One query per result keeps a slow or failing one from holding up the others. So that ten queries don't read and parse
+the topic ten times, a feed does it once and lays the events down in columns; each result reads the few it needs.
 """
 
 from __future__ import annotations
@@ -8,15 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch import schemas as S
-from tidewatch.operators import detectors, enrich, loading, stats
+from tidewatch.operators import detectors, enrich, stats
 from tidewatch.settings import DEFAULTS, RiskSettings
 from tidewatch.sinks.messages import each_of, to_text, to_topic
-from tidewatch.sinks.tables import BatchWriter, append_alerts, empty_table, is_there, upsert_stats, write_batches
+from tidewatch.sinks.tables import BatchWriter, append_alerts, make_folder, upsert_stats, write_batches
 from tidewatch.sources.tables import RefreshedTable
 from tidewatch.streaming.stateful import stream_continuous_increase, stream_high_frequency
 
@@ -78,6 +78,20 @@ def start(
     return writer.queryName(name).start() if name else writer.start()
 
 
+def start_feed(events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Lay the events of a stream down in ``path``, each exactly once, for any number of ``read_feed``."""
+    writer = events.writeStream.format("parquet").option("checkpointLocation", checkpoint).queryName("feed")
+    return writer.trigger(**(trigger or {"processingTime": "1 second"})).start(path)
+
+
+def read_feed(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The events of a feed as a stream. A query over it reads only the columns it uses."""
+    reader = spark.readStream.schema(S.EVENT_SCHEMA)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
+
+
 def start_results(
     events: DataFrame,
     root: str,
@@ -86,16 +100,29 @@ def start_results(
     settings: RiskSettings = DEFAULTS,
     trigger: dict | None = None,
     run: str = "main",
+    shared: bool = True,
+    files_per_trigger: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start the named results of a stream of good events.
 
-    Below ``root``, a folder all executors can reach, are the checkpoints and the tables ``alerts`` and
-    ``stats``. Messages go to the topics of ``servers``, or without it to text files below ``root/topics``.
+    Below ``root``, a folder all executors can reach, are the checkpoints, the events of the feed and the tables
+    ``alerts`` and ``stats``. Messages go to the topics of ``servers``, or without it to text files below
+    ``root/topics``. With ``shared`` one more query, ``feed``, reads the stream for all; with a trigger that ends with its
+    input it has ended before the others start. Bound the triggers of the stream, and with ``files_per_trigger`` those of
+    the results.
     """
-    if (trigger or {}).get("availableNow") or (trigger or {}).get("once"):
+    ends = (trigger or {}).get("availableNow") or (trigger or {}).get("once")
+    if ends:
         settings = replace(settings, burst_idle_ms=0)
-    events = watermarked(events, settings)
     started = {}
+    if shared:
+        spark, path = events.sparkSession, f"{root}/events"
+        make_folder(spark, path)  # there to listen to
+        started["feed"] = start_feed(events, path, f"{root}/checkpoints/feed-{run}", trigger)
+        if ends:
+            started["feed"].awaitTermination()
+        events = read_feed(spark, path, files_per_trigger)
+    events = watermarked(events, settings)
     for name in names:
         result = RESULTS[name]
         writers = []
@@ -131,45 +158,3 @@ def enriching(
         write(enrich.event_messages(enriched), batch_id)
 
     return enrich_batch
-
-
-def loading_facts(
-    facts_path: str,
-    rejects_path: str,
-    users: RefreshedTable,
-    products: RefreshedTable,
-    categories: RefreshedTable,
-    order: str = "seq",
-    buckets: int = 1024,
-) -> BatchWriter:
-    """For ``foreachBatch`` over a stream of facts, one stream per pair of paths: insert the sound rows that
-    are new and keep the others with their reason. A repeated batch replaces its own rows, and does not take
-    them for stored ones.
-
-    Facts lie in folders by a hash of their id (``bucket``), so a batch looks for its ids in the folders they would be
-    in and in no others. ``buckets`` belongs to the table: it must not change once there are facts.
-    """
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        bucket = F.pmod(F.xxhash64("transaction_id"), F.lit(buckets)).cast("int")
-        checked = loading.check_references(
-            batch, users.at(batch_id), products.at(batch_id), categories.at(batch_id)
-        )
-        if is_there(spark, facts_path):
-            touched = [r.bucket for r in batch.select(bucket.alias("bucket")).distinct().collect()]  # numbers below buckets
-            stored = spark.read.parquet(facts_path).where(F.col("batch_id") != batch_id)
-            stored = stored.where(F.col("bucket").isin(touched))
-        else:
-            stored = empty_table(spark, S.TRANSACTIONS)
-        tagged = loading.tagged_facts(checked, stored, order).persist()
-        try:
-            # Rejects first: once the facts of this batch are there, they must not look stored to it.
-            loading.rejected_facts(tagged).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
-            rows = loading.accepted_facts(tagged).withColumn("bucket", bucket).withColumn("batch_id", F.lit(batch_id))
-            writer = rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy("bucket", "batch_id").parquet(facts_path)
-        finally:
-            tagged.unpersist()
-
-    return load

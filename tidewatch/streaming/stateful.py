@@ -42,41 +42,78 @@ class Bursts(StatefulProcessor):
     """Counts a user's events within the window before each one.
 
     Every event drops what left the window by its own time, for good; an older event that arrives later, however late,
-    counts the newer ones that are there. The state is two arrays, the milliseconds in the window and the events of
-    each, read and written once per trigger; it goes when the user has not been heard of for ``idle_ms``, if that is
-    given.
+    counts the newer ones that are there. The state is a summary, which blocks of time have how many events, and each
+    block's milliseconds with the events of each. A trigger reads and writes the summary and the blocks that something
+    arrives in or leaves in part; blocks that leave whole are only struck off. All of it goes when the user has not been
+    heard of for ``idle_ms``, if that is given.
     """
 
+    BLOCKS = 64  # in a window
+
     def __init__(self, window_ms: int, least: int, idle_ms: int):
         self._window = window_ms
         self._least = least
         self._idle = idle_ms
+        self._width = max(1, window_ms // self.BLOCKS)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = "times array<bigint>, arrivals array<bigint>"
-        self._recent = handle.getValueState("recent", schema, self._idle or None)
+        self._summary = handle.getValueState("summary", "blocks array<bigint>, counts array<bigint>", self._idle or None)
+        self._blocks = handle.getMapState(
+            "blocks", "block bigint", "times array<bigint>, arrivals array<bigint>", self._idle or None
+        )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = self._recent.get()
-        times = list(stored[0]) if stored else []
-        arrivals = dict(zip(times, stored[1], strict=True)) if stored else {}
-        in_window = sum(arrivals.values())
-        oldest = 0  # position of the first time still in the window
-        found = []
+        stored = self._summary.get()
+        blocks = list(stored[0]) if stored else []  # ascending
+        counts = dict(zip(blocks, stored[1], strict=True)) if stored else {}
+        in_window = sum(counts.values())
+        held: dict[int, dict[int, int]] = {}  # blocks that were read: events by millisecond
+        changed, found = set(), []
+
+        def read(block: int) -> dict[int, int]:
+            if block not in held:
+                row = self._blocks.getValue((block,)) if block in counts else None
+                held[block] = dict(zip(row[0], row[1], strict=True)) if row else {}
+            return held[block]
+
+        def strike(block: int) -> None:
+            blocks.remove(block)
+            del counts[block]
+            held.pop(block, None)
+            changed.add(block)
+
         for _, at, _ in _arrivals(rows):
-            while oldest < len(times) and times[oldest] <= at - self._window:
-                in_window -= arrivals.pop(times[oldest])
-                oldest += 1
-            if at in arrivals:
-                arrivals[at] += 1
-            else:
-                insort(times, at, lo=oldest)
-                arrivals[at] = 1
+            left = at - self._window  # this millisecond and all before have left
+            while blocks and blocks[0] * self._width + self._width - 1 <= left:
+                in_window -= counts[blocks[0]]
+                strike(blocks[0])
+            if blocks and blocks[0] * self._width <= left:
+                first = blocks[0]
+                events = read(first)
+                for time in [t for t in events if t <= left]:
+                    gone = events.pop(time)
+                    in_window -= gone
+                    counts[first] -= gone
+                    changed.add(first)
+                if not events:
+                    strike(first)
+            block = at // self._width
+            events = read(block)
+            if block not in counts:
+                insort(blocks, block)
+                counts[block] = 0
+            events[at] = events.get(at, 0) + 1
+            counts[block] += 1
+            changed.add(block)
             in_window += 1
             if in_window >= self._least:
                 found.append((key[0], at, in_window))
-        kept = times[oldest:]
-        self._recent.update((kept, [arrivals[at] for at in kept]))
+        for block in changed:
+            if block in counts:
+                self._blocks.updateValue((block,), (list(held[block]), list(held[block].values())))
+            elif self._blocks.containsKey((block,)):
+                self._blocks.removeKey((block,))
+        self._summary.update((blocks, [counts[b] for b in blocks]))
         if found:
             yield pd.DataFrame(found, columns=["user_id", "timestamp", "transaction_count"])
 
