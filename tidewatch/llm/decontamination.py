@@ -34,6 +34,7 @@ class LeakSettings:
     # with a deviation of 3; so 20 misses one in thousands there, and none to speak of above.
     radius: int = 20
     broadcast_rows: int = 1_000_000  # shingles of items, or texts with windows, sent to every task; else shuffled
+    listed_rows: int = 100_000  # shingles of items of which one word each is looked for first; beyond, all are hashed
 
 
 def _words(text: Column) -> Column:
@@ -95,6 +96,38 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
     ).where("words is not null")
 
 
+def _key_word(run: Column, n: Column) -> Column:
+    """The word by which a shingle is looked for, and its place in it: the longest word, the first in order of several,
+    as long words are rare ones."""
+    words = F.transform(F.sequence(F.lit(0), n - 1), lambda at: F.struct(-F.length(run[at]), run[at].alias("word"), at.alias("at")))
+    return F.array_min(words)
+
+
+def _numbers(hashes: DataFrame) -> str:
+    return ", ".join(f"{r[0]}L" for r in hashes.distinct().collect())
+
+
+def _placed_runs(texts: DataFrame, own: DataFrame, n: int, settings: LeakSettings) -> DataFrame:
+    """(text, size, place, hash) of the runs of ``n`` words that may be a shingle of an item (``own``), all of those
+    among them.
+
+    A run can only be one if the word that the shingle is looked for by stands in it, at its place. Most words are none
+    of those, and the runs around them need not be hashed.
+    """
+    texts = texts.where(F.size("words") >= n)
+    size = F.size("words").alias("size")
+    if own.count() > settings.listed_rows:
+        return texts.select(*_TEXT, size, F.posexplode(_hashes("words", F.lit(n))).alias("place", "hash"))
+    keys = own.select("key.word", "key.at").distinct()
+    words, at = _numbers(keys.select(F.xxhash64("word"))), _numbers(keys.select(F.xxhash64("word", "at")))
+    spots = f"filter(transform(words, (w, i) -> if(xxhash64(w) IN ({words}), i, null)), i -> i IS NOT NULL)"
+    places = f"""array_distinct(flatten(transform(spots, i -> filter(transform(sequence(0, {n - 1}),
+        o -> if(xxhash64(words[i], o) IN ({at}), i - o, null)), s -> s >= 0 AND s <= size(words) - {n}))))"""
+    runs = f"explode(transform(places, s -> struct(s AS place, xxhash64(slice(words, s + 1, {n})) AS hash))) AS run"
+    placed = texts.withColumn("spots", F.expr(spots)).where("size(spots) > 0").withColumn("places", F.expr(places))
+    return placed.select(*_TEXT, size, F.expr(runs)).select(*_TEXT, "size", "run.place", "run.hash")
+
+
 def _starts(found: DataFrame, settings: LeakSettings) -> DataFrame:
     """(text, n, n_words, start, room) of all windows that can be like an item, from the places that hold one of its
     shingles (text, size, place, item, weight, needed). A window that weighs more than ``room`` cannot."""
@@ -135,8 +168,13 @@ def matches(docs: DataFrame, items: DataFrame, settings: LeakSettings, text: str
     )
     item_keys = ["item_id", "n_words", "n"]
     item_runs = durable(listed.select(*item_keys, F.posexplode(_runs("words", F.col("n"))).alias("at", "run")), "leak-item-runs")
-    runs_of = F.arrays_zip(_hashes("words", F.col("n")).alias("hash"), F.transform(_runs("words", F.col("n")), F.length).alias("weight"))
-    placed = listed.select(*item_keys, F.explode(runs_of).alias("run")).select(*item_keys, "run.hash", "run.weight")
+    pieces = F.transform(F.sequence(F.lit(1), F.size("words") - F.col("n") + 1), lambda i: F.slice("words", i, F.col("n")))
+    placed = listed.select(*item_keys, F.explode(pieces).alias("run")).select(
+        *item_keys,
+        F.xxhash64("run").alias("hash"),
+        F.length(F.array_join("run", " ")).alias("weight"),
+        _key_word(F.col("run"), F.col("n")).alias("key"),
+    )
     own_weights = placed.groupBy(*item_keys).agg((F.sum("weight") * settings.similarity).alias("needed"))
     anchors = durable(placed.distinct().join(own_weights, item_keys), "leak-anchors")
 
@@ -146,10 +184,9 @@ def matches(docs: DataFrame, items: DataFrame, settings: LeakSettings, text: str
     few = anchors.count() <= settings.broadcast_rows
     found = None
     for n in sizes:
-        runs = texts.where(F.size("words") >= n).select(
-            *_TEXT, F.size("words").alias("size"), F.posexplode(_hashes("words", F.lit(n))).alias("place", "hash")
-        )
         own = anchors.where(F.col("n") == n)
+        runs = _placed_runs(texts, own, n, settings)
+        own = own.drop("key")
         one = runs.join(F.broadcast(own) if few else own, "hash").drop("hash")
         found = one if found is None else found.unionByName(one)
     windows = _starts(found, settings) if found is not None else anchors.sparkSession.createDataFrame(
