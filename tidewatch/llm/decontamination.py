@@ -37,10 +37,20 @@ class LeakSettings:
     listed_rows: int = 100_000  # shingles of items of which one word each is looked for first; beyond, all are hashed
 
 
+def _lowered(text: Column) -> Column:
+    """ASCII letters lowered. Texts of ASCII alone take the plain function, which is much the faster."""
+    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
+
+
+def _split(text: Column) -> Column:
+    """The words of a text as they stand; null for a text without any."""
+    trimmed = F.btrim(text, F.lit(_BLANKS))
+    return F.when(trimmed != "", F.split(trimmed, r"[\x20\x09-\x0D]+"))
+
+
 def _words(text: Column) -> Column:
     """The words of a text with ASCII letters lowered; null for a text without any."""
-    trimmed = F.btrim(F.translate(text, _UPPER, _LOWER), F.lit(_BLANKS))
-    return F.when(trimmed != "", F.split(trimmed, r"[\x20\x09-\x0D]+"))
+    return _split(_lowered(text))
 
 
 def _runs(words: str, n: Column) -> Column:
@@ -48,9 +58,9 @@ def _runs(words: str, n: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
 
 
-def _hashes(words: str, n: Column) -> Column:
-    """A hash of every run of ``n`` words, without putting the run together."""
-    return F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.xxhash64(F.slice(words, i, n)))
+def _hash(words: str, place: Column, n: int) -> Column:
+    """A hash of the ``n`` words from ``place`` on, lowered, without putting the run together."""
+    return F.xxhash64(*[_lowered(F.col(words)[place + k]) for k in range(n)])
 
 
 def _small(df: DataFrame, settings: LeakSettings) -> DataFrame:
@@ -90,9 +100,10 @@ def _blocks(fingerprint: str, radius: int) -> Column:
 
 
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
+    """(text, words) of the texts with words, which are as they stand."""
     body = docs[text].cast("string")
     return docs.select(
-        F.xxhash64(body).alias("text_hash"), F.length(body).alias("text_length"), _words(body).alias("words")
+        F.xxhash64(body).alias("text_hash"), F.length(body).alias("text_length"), _split(body).alias("words")
     ).where("words is not null")
 
 
@@ -103,8 +114,8 @@ def _key_word(run: Column, n: Column) -> Column:
     return F.array_min(words)
 
 
-def _numbers(hashes: DataFrame) -> str:
-    return ", ".join(f"{r[0]}L" for r in hashes.distinct().collect())
+def _numbers(hashes: DataFrame) -> list[int]:
+    return [r[0] for r in hashes.distinct().collect()]
 
 
 def _placed_runs(texts: DataFrame, own: DataFrame, n: int, settings: LeakSettings) -> DataFrame:
@@ -112,20 +123,24 @@ def _placed_runs(texts: DataFrame, own: DataFrame, n: int, settings: LeakSetting
     among them.
 
     A run can only be one if the word that the shingle is looked for by stands in it, at its place. Most words are none
-    of those, and the runs around them need not be hashed.
+    of those, and the runs around them need not be hashed. Words become rows by generators rather than lambda functions,
+    so that splitting, looking and hashing compile into one loop; the rows that a word drops are never laid out.
     """
-    texts = texts.where(F.size("words") >= n)
-    size = F.size("words").alias("size")
+    texts = texts.where(F.size("words") >= n).select(*_TEXT, F.size("words").alias("size"), "words")
     if own.count() > settings.listed_rows:
-        return texts.select(*_TEXT, size, F.posexplode(_hashes("words", F.lit(n))).alias("place", "hash"))
+        starts = texts.select("*", F.explode(F.sequence(F.lit(0), F.col("size") - n)).alias("place"))
+        return starts.select(*_TEXT, "size", "place", _hash("words", F.col("place"), n).alias("hash"))
     keys = own.select("key.word", "key.at").distinct()
-    words, at = _numbers(keys.select(F.xxhash64("word"))), _numbers(keys.select(F.xxhash64("word", "at")))
-    spots = f"filter(transform(words, (w, i) -> if(xxhash64(w) IN ({words}), i, null)), i -> i IS NOT NULL)"
-    places = f"""array_distinct(flatten(transform(spots, i -> filter(transform(sequence(0, {n - 1}),
-        o -> if(xxhash64(words[i], o) IN ({at}), i - o, null)), s -> s >= 0 AND s <= size(words) - {n}))))"""
-    runs = f"explode(transform(places, s -> struct(s AS place, xxhash64(slice(words, s + 1, {n})) AS hash))) AS run"
-    placed = texts.withColumn("spots", F.expr(spots)).where("size(spots) > 0").withColumn("places", F.expr(places))
-    return placed.select(*_TEXT, size, F.expr(runs)).select(*_TEXT, "size", "run.place", "run.hash")
+    spots = texts.select("*", F.posexplode("words").alias("spot", "raw")).withColumn("word", _lowered(F.col("raw")))
+    spots = spots.where(F.xxhash64("word").isin(_numbers(keys.select(F.xxhash64("word")))))
+    offsets = F.array(*[F.lit(k) for k in range(n)])
+    runs = (
+        spots.select("*", F.explode(offsets).alias("at"))
+        .where(F.xxhash64("word", "at").isin(_numbers(keys.select(F.xxhash64("word", "at")))))
+        .withColumn("place", F.col("spot") - F.col("at"))
+        .where((F.col("place") >= 0) & (F.col("place") <= F.col("size") - n))
+    )
+    return runs.select(*_TEXT, "size", "place", _hash("words", F.col("place"), n).alias("hash"))
 
 
 def _starts(found: DataFrame, settings: LeakSettings) -> DataFrame:
@@ -171,7 +186,7 @@ def matches(docs: DataFrame, items: DataFrame, settings: LeakSettings, text: str
     pieces = F.transform(F.sequence(F.lit(1), F.size("words") - F.col("n") + 1), lambda i: F.slice("words", i, F.col("n")))
     placed = listed.select(*item_keys, F.explode(pieces).alias("run")).select(
         *item_keys,
-        F.xxhash64("run").alias("hash"),
+        "run",
         F.length(F.array_join("run", " ")).alias("weight"),
         _key_word(F.col("run"), F.col("n")).alias("key"),
     )
@@ -184,7 +199,7 @@ def matches(docs: DataFrame, items: DataFrame, settings: LeakSettings, text: str
     few = anchors.count() <= settings.broadcast_rows
     found = None
     for n in sizes:
-        own = anchors.where(F.col("n") == n)
+        own = anchors.where(F.col("n") == n).withColumn("hash", _hash("run", F.lit(0), n)).drop("run")
         runs = _placed_runs(texts, own, n, settings)
         own = own.drop("key")
         one = runs.join(F.broadcast(own) if few else own, "hash").drop("hash")
@@ -196,7 +211,8 @@ def matches(docs: DataFrame, items: DataFrame, settings: LeakSettings, text: str
 
     # The texts that have windows, once each, and the shingles of their windows.
     holders = durable(windows.select(*_TEXT).distinct(), "leak-texts")
-    held = durable(texts.join(_small(holders, settings), _TEXT, "left_semi").dropDuplicates(_TEXT), "leak-words")
+    held = texts.join(_small(holders, settings), _TEXT, "left_semi").dropDuplicates(_TEXT)
+    held = durable(held.withColumn("words", F.transform("words", _lowered)), "leak-words")
     window_keys = [*_TEXT, "n", "n_words", "start"]
     cut = F.slice("words", F.greatest("start", F.lit(0)) + 1, F.col("n_words") + F.least("start", F.lit(0)))
     pieces = held.join(windows, _TEXT).select(*window_keys, "room", cut.alias("piece")).where(F.size("piece") >= F.col("n"))
