@@ -47,6 +47,27 @@ def test_results_do_not_depend_on_the_slices(events):
     assert totals[0] == totals[1] and totals[0][1] == ROWS
 
 
+def test_growing_runs_of_a_user_within_an_hour_lie_in_bounded_slices(events):
+    # 20,000 events of one user in twenty minutes: 1,000 a minute, 17 a second.
+    hot = events.where("user_id = 'hot'")
+    for most, largest in ((100_000, 20_000), (1_000, 1_000), (500, 17)):
+        sizes = detectors._sliced(hot, 3_600_000, most).groupBy("user_id", "slice").count()
+        assert sizes.agg(F.max("count")).first()[0] == largest
+    found = [
+        sorted(map(str, detectors.continuous_increase(hot, slice_rows=most).collect())) for most in (100_000, 1_000, 500)
+    ]
+    assert found[0] == found[1] == found[2] and len(found[0]) > 100
+
+
+def test_bursts_carry_over_many_slices(events):
+    # The window is longer than the data, so every event counts all before it, over two slices.
+    settings = RiskSettings(burst_window_ms=86_400_000)
+    found = detectors.high_frequency(events.where("user_id = 'hot'"), settings)
+    seen = found.agg(F.count("*"), F.min("transaction_count"), F.max("transaction_count"), F.sum("transaction_count")).first()
+    n, least = ROWS // 3, settings.burst_count
+    assert tuple(seen) == (n - least + 1, least, n, (least + n) * (n - least + 1) // 2)
+
+
 def test_building_runs_no_job_and_leaves_nothing(spark, events, tmp_path):
     before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
     detectors.continuous_increase(events), stats.running_totals(events), detectors.high_frequency(events)

@@ -16,8 +16,8 @@ from tidewatch.functions import plain_number, tumbling
 from tidewatch.operators.alerts import as_alerts
 from tidewatch.settings import DEFAULTS, RiskSettings
 
-# A slice of a user's time line is this many burst windows long.
-_SLICE_WINDOWS = 4
+# Milliseconds of a slice of a user's time line in which bursts are counted, whatever the burst window.
+_BURST_SLICE_MS = 600_000
 # Alerts of one user within one millisecond are produced in blocks of this size.
 _TIE_BLOCK = 100_000
 
@@ -153,36 +153,34 @@ def high_frequency(events: DataFrame, settings: RiskSettings = DEFAULTS) -> Data
     """One alert per event that is at least the n-th of its user within the window before it, itself
     included. Events of one millisecond count in arrival order: k-th of them sees k - 1 of the others.
 
-    Equal milliseconds are counted together first, so a group of the window step has at most one row per
-    millisecond, however busy the user is. Each user's time line is cut into slices. An event leaves the
-    window at ``timestamp + window``; a row of +n at its arrival and one of -n at its leaving turn "how many
-    are in the window" into a running sum, which is linear, where a range frame would rescan its window for
-    every row. An event still in the window when the next slice begins is counted there as well.
+    Equal milliseconds are counted together first. An event leaves the window at ``timestamp + window``: a row of +n
+    at its arrival and one of -n at its leaving turn "how many are in the window" into a running sum, which is linear,
+    where a range frame would rescan its window for every row. Each user's time line is cut into slices of a fixed
+    width; a slice sums its own rows, of which there are two a millisecond at most, and starts from the sum of all
+    slices before it, one row per user and slice. So no task's share depends on the length of the window.
     """
     window = settings.burst_window_ms
-    width = window * _SLICE_WINDOWS
     arrivals = (
         events.where("user_id IS NOT NULL")
         .groupBy("user_id", "timestamp")
         .agg(F.count("*").alias("arrivals"))
     )
-    own_slice = F.col("timestamp") - F.pmod("timestamp", F.lit(width))
-    next_slice = own_slice + F.lit(width)
-    leaves = F.col("timestamp") + F.lit(window)
-    slices = F.when(leaves > next_slice, F.array(own_slice, next_slice)).otherwise(F.array(own_slice))
 
     def change(at: Column, arriving: int, by: Column) -> Column:
         return F.struct(at.alias("at"), F.lit(arriving).alias("arriving"), by.alias("change"))
 
+    arriving = change(F.col("timestamp"), 1, F.col("arrivals"))
+    leaving = change(F.col("timestamp") + F.lit(window), 0, -F.col("arrivals"))
     changes = (
-        arrivals.select("user_id", "timestamp", "arrivals", F.explode(slices).alias("slice"))
+        arrivals.select("user_id", F.inline(F.array(arriving, leaving)))
+        .withColumn("slice", F.floor(F.col("at") / F.lit(_BURST_SLICE_MS)).cast("bigint"))
         .repartition("user_id", "slice")
-        .select(
-            "user_id",
-            "slice",
-            "arrivals",
-            F.inline(F.array(change(leaves, 0, -F.col("arrivals")), change(F.col("timestamp"), 1, F.col("arrivals")))),
-        )
+    )
+    before_slice = W.partitionBy("user_id").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    carried = (
+        changes.groupBy("user_id", "slice")
+        .agg(F.sum("change").alias("left_over"))
+        .select("user_id", "slice", F.coalesce(F.sum("left_over").over(before_slice), F.lit(0)).alias("carried"))
     )
     so_far = (
         W.partitionBy("user_id", "slice")
@@ -191,8 +189,11 @@ def high_frequency(events: DataFrame, settings: RiskSettings = DEFAULTS) -> Data
     )
     least = F.lit(settings.burst_count).cast("bigint")
     bursts = (
-        changes.withColumn("in_window", F.sum("change").over(so_far))
-        .where("arriving = 1 AND at >= slice")
+        changes.withColumn("in_slice", F.sum("change").over(so_far))
+        .where("arriving = 1")
+        .join(carried, ["user_id", "slice"])
+        .withColumn("in_window", F.col("in_slice") + F.col("carried"))
+        .withColumn("arrivals", F.col("change"))
         .where(F.col("in_window") >= least)
         .withColumn("before", F.col("in_window") - F.col("arrivals"))
         .withColumn("first", F.greatest(F.lit(1).cast("bigint"), least - F.col("before")))
@@ -239,20 +240,19 @@ def _grows(amount: Column, previous: Column, settings: RiskSettings) -> Column:
 
 
 def continuous_increase(
-    events: DataFrame, settings: RiskSettings = DEFAULTS, slice_ms: int = 3_600_000
+    events: DataFrame, settings: RiskSettings = DEFAULTS, slice_ms: int = 3_600_000, slice_rows: int = 100_000
 ) -> DataFrame:
     """An alert at every ``growth_length``-th event of a run in which each amount of a user is at least
     ``growth_factor`` times the one before. An alert starts the count anew, hence every n-th and not every
     event from the n-th on.
 
-    Each user's time line is cut into slices of a fixed width, so that one user with a third of all events is shared
-    out. Runs are counted inside each slice; a run that crosses slices is put right by what each slice inherits from
-    the user's slices before it, one row per user and slice.
+    Each user's time line is cut into slices of about ``slice_ms``, and where a slice would hold more than
+    ``slice_rows`` events, into finer ones, so that one user with a third of all events is shared out even if they fall
+    within an hour. Runs are counted inside each slice; a run that crosses slices is put right by what each slice
+    inherits from the user's slices before it, one row per user and slice.
     """
-    order = ("user_id", *S.EVENT_ORDER, "amount")
-    rows = events.where("user_id IS NOT NULL").select(
-        *order, F.floor(F.col("timestamp") / F.lit(slice_ms)).cast("bigint").alias("slice")
-    )
+    events = events.where("user_id IS NOT NULL").select("user_id", *S.EVENT_ORDER, "amount")
+    rows = _sliced(events, slice_ms, slice_rows)
     runs = _runs_in_slice(rows, settings)
     counted = runs.join(_inherited(runs, settings), ["user_id", "slice"], "left")
     carried = F.when(F.col("run_start") == 1, F.coalesce("inherited_length", F.lit(0))).otherwise(F.lit(0))
@@ -263,6 +263,32 @@ def continuous_increase(
     return growth_alerts(alerting.withColumn("amounts", amounts), settings)
 
 
+def _sliced(events: DataFrame, slice_ms: int, slice_rows: int) -> DataFrame:
+    """``events`` with ``slice``, the start of their piece of their user's time line: a coarse one, or one of its 60
+    parts if the coarse one has more than ``slice_rows`` events, or one of 60 parts of that if that still has.
+
+    Events are counted by the finest parts, which partial sums do before the shuffle, and meet the list of parts on
+    them, so that no user and no coarse slice meets in one task. The list holds full slices only.
+    """
+    fine = max(1, slice_ms // 3600)
+
+    def start(width: int) -> Column:
+        return F.col("timestamp") - F.pmod("timestamp", F.lit(width).cast("bigint"))
+
+    keys = {"part": start(fine), "middle": start(fine * 60), "coarse": start(fine * 3600)}
+    counts = events.groupBy("user_id", *[at.alias(name) for name, at in keys.items()]).agg(F.count("*").alias("events"))
+    full = (
+        counts.withColumn("in_coarse", F.sum("events").over(W.partitionBy("user_id", "coarse")))
+        .withColumn("in_middle", F.sum("events").over(W.partitionBy("user_id", "coarse", "middle")))
+        .where(F.col("in_coarse") > slice_rows)
+        .select("user_id", "part", F.when(F.col("in_middle") > slice_rows, F.col("part")).otherwise(F.col("middle")).alias("finer"))
+    )
+    parted = events.withColumns({name: keys[name] for name in ("part", "coarse")})
+    return parted.join(full, ["user_id", "part"], "left").select(
+        *events.columns, F.coalesce("finer", "coarse").alias("slice")
+    )
+
+
 def _runs_in_slice(rows: DataFrame, settings: RiskSettings) -> DataFrame:
     """Number each user's events inside a slice (``nth``) and say where their run began (``run_start``),
     with the last ``growth_length`` amounts."""
