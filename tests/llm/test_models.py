@@ -7,11 +7,11 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.llm.brute import lower, words
-from tidewatch.llm import masked_lm
+from tidewatch.llm import language_id, masked_lm
 from tidewatch.llm.boosting import BoostSettings, fit
 from tidewatch.llm.docstats import count
 from tidewatch.llm.language_id import NetSettings, identify, windows_of
-from tidewatch.llm.quality_classifier import classify
+from tidewatch.llm.quality_classifier import ClassifierSettings, classify, learn, sample, scored, with_vectors
 from tidewatch.llm.queries import QUERIES
 from tidewatch.llm.textbytes import span_hashes, texts
 
@@ -53,6 +53,30 @@ def test_windows_cover_every_byte():
     assert bytes(windows[rows == 3].ravel()[windows[rows == 3].ravel() < 256].astype(np.uint8)) == ("é" * 50).encode()
 
 
+def test_languages_equal_a_loop_over_windows_and_filters(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    settings = NetSettings(epochs=2, window=48)
+    net = language_id.learn(docs, settings)
+    some = docs.limit(12).collect()
+    got = {r.doc_id: r for r in language_id.predict(docs, net, settings).collect()}
+    for doc in some:
+        data, total = (doc.text or "").encode(), np.zeros(len(net.labels))
+        for at in range(0, len(data), settings.window):
+            part = data[at : at + settings.window]
+            seen = list(part) + [256] * (settings.window - len(part))
+            pooled = np.full(net.filters.shape[1], -np.inf)
+            for place in range(settings.window - net.widest + 1):
+                window = np.concatenate([net.embed[b] for b in seen[place : place + net.widest]])
+                pooled = np.maximum(pooled, window @ net.filters)
+            logits = np.maximum(pooled + net.bias, 0) @ net.out + net.out_bias
+            total += np.exp(logits) / np.exp(logits).sum() * len(part)
+        if not any(c.isalpha() for c in doc.text or ""):
+            assert got[doc.doc_id].lang_pred == "und"
+            continue
+        assert got[doc.doc_id].lang_pred == net.labels[int(total.argmax())]
+        assert abs(got[doc.doc_id].score - total.max() / total.sum()) < 1e-4
+
+
 # --- masked language model
 
 
@@ -165,6 +189,60 @@ def test_held_out_quality(spark):
     assert all(r.predicted == int(r.score >= 0.7) for r in rows)
 
 
+def _plain_vector(text):
+    """The statistics of one text, counted by a loop; of ASCII letters, digits and signs alone."""
+    seen, found = words(text), {}
+    lines = [x for x in (text or "").split("\n") if words(x)]
+    for i in range(len(seen) - 7):
+        found.setdefault(tuple(seen[i : i + 8]), []).append(i)
+    repeated = {i + k for at in found.values() if len(at) > 1 for i in at for k in range(8)}
+    chars = [c for w in seen for c in w]
+    symbols = sum(c in "#*$%&|<>" for c in chars)
+    digits = sum(c in "0123456789" for c in chars)
+    upper = sum("A" <= c <= "Z" for c in chars)
+    other = sum(32 < ord(c) < 127 and not (c.isalnum() or c in "#*$%&|<>") for c in chars)
+    letters = len(chars) - symbols - digits - other
+    spaces = sum(c in " \t\n\v\f\r" for c in text or "")
+    n, m, k = max(len(seen), 1), max(len(chars), 1), max(len(lines), 1)
+    return [
+        math.log1p(len(seen)), len(chars) / n, symbols / m, upper / max(letters, 1), other / m, digits / m, letters / m,
+        len(set(seen)) / n, len(set(seen)) / math.sqrt(n), len(repeated) / n, (len(lines) - len(set(lines))) / k,
+        len(seen) / k, spaces / n,
+    ]
+
+
+def test_quality_equals_a_loop_over_texts_and_trees(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", F.col("quality").cast("int").alias("label"))
+    rows = with_vectors(docs)
+    trees = learn(rows.join(labels, "doc_id"), ClassifierSettings(boost=BoostSettings(trees=12)))
+    assert len(trees.feature)
+    got = {r.doc_id: r.score for r in scored(rows, trees).collect()}
+    seen = {r.doc_id: np.array(r.x) for r in rows.collect()}
+    for doc in docs.collect():
+        x = np.array(_plain_vector(doc.text))
+        assert np.allclose(x, seen[doc.doc_id], rtol=1e-12)
+        margin = trees.start
+        for feature, limit, value in zip(trees.feature, trees.limit, trees.value):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + 1 + int(seen[doc.doc_id][feature[node]] > limit[node])
+            margin += value[node - len(feature)]
+        assert abs(got[doc.doc_id] - 1 / (1 + math.exp(-margin))) < 1e-9
+
+
+def test_the_sample_is_the_first_rows_by_hash(spark):
+    rows = spark.range(5000).selectExpr("id div 2 as doc_id", "array(double(id)) as x", "int(id % 2) as label").repartition(9)
+    every = [(r.doc_id, r.label) for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id", "label").collect()]
+    for size in (0, 1, 777, 5000, 9000):
+        got = sample(rows, size)
+        assert got.columns == rows.columns
+        assert [(r.doc_id, r.label) for r in got.collect()] == every[:size]
+    assert sample(rows.limit(0), 5).count() == 0
+    alike = rows.withColumn("doc_id", F.lit(7))
+    assert sample(alike, 10).count() == 10
+
+
 def test_quality_of_odd_rows(spark):
     rows = [(1, None, 1), (2, "", 1), (None, "a b c", 1), (3, "a " * 200_000, 1), (4, "x", 1), (4, "x", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, label int")

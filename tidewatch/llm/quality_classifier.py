@@ -65,10 +65,21 @@ def with_vectors(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     return rows.mapInArrow(run, "doc_id long, x array<double>")
 
 
+def sample(labelled: DataFrame, size: int) -> DataFrame:
+    """The ``size`` first rows by the hash of their id. Counts by the hash's first 16 bits say how far they reach, so
+    only these rows are sorted and sent, however many partitions there are."""
+    hashed = labelled.withColumn("hash", F.xxhash64("doc_id"))
+    reach = F.shiftright("hash", 48).cast("int")
+    counts = hashed.groupBy(reach.alias("reach")).agg(F.count("*").alias("n")).orderBy("reach").toArrow()
+    reached = np.flatnonzero(np.cumsum(counts["n"].to_numpy()) >= size)
+    if len(reached):
+        hashed = hashed.where(reach <= F.lit(counts["reach"][int(reached[0])].as_py()))
+    return hashed.orderBy("hash", "doc_id", "label").limit(size).drop("hash")
+
+
 def learn(labelled: DataFrame, settings: ClassifierSettings) -> Trees:
     """Trees from rows (doc_id, x, label): the ``sample_rows`` first by the hash of their id."""
-    some = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(settings.sample_rows).select("x", "label")
-    rows = some.toArrow()
+    rows = sample(labelled, settings.sample_rows).select("x", "label").toArrow()
     n = rows.num_rows
     y = rows["label"].to_numpy().astype(float) if n else np.zeros(0)
     x = rows["x"].combine_chunks().flatten().to_numpy().reshape(n, -1) if n else np.zeros((0, 1))
