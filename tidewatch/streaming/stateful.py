@@ -3,52 +3,71 @@
 Events of a user are taken in arrival order (``seq``; by time and id where there is none). A micro-batch
 hands a user's rows to one task, so the source's limit per trigger is what bounds it; the state itself is
 small: one row per millisecond of the window, or the last amounts.
+
+What a call of a processor costs beside its work, some milliseconds, is not paid per user: users are dealt to
+``BUCKETS`` groups, and each of them is an entry in its group's state. A trigger reads an entry of every user it has
+rows of, writes it, and touches no other.
 """
 
 from __future__ import annotations
 
 import sys
 from bisect import insort
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidewatch.operators.detectors import burst_alerts, growth_alerts
-from tidewatch.schemas import EVENT_ORDER
 from tidewatch.settings import DEFAULTS, RiskSettings
 
 # The processors travel to the Python workers as they are, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def _arrivals(rows: Iterator[pd.DataFrame], *columns: str) -> list[tuple]:
-    """A user's rows of one batch in order of arrival, as (seq, timestamp, transaction_id, *columns).
+BUCKETS = 512  # groups of users; the state is kept by them, so a checkpoint holds for one number
+
+
+def _by_bucket(events: DataFrame, *columns: str) -> GroupedData:
+    bucket = F.pmod(F.xxhash64("user_id"), F.lit(BUCKETS)).cast("int").alias("bucket")
+    order = ("coalesce(seq, -1) AS seq", "timestamp", "coalesce(transaction_id, '') AS transaction_id")
+    known = events.where("user_id IS NOT NULL")
+    return known.select(bucket, "user_id", *map(F.expr, (*order, *columns))).groupBy("bucket")
+
+
+def _arrivals(rows: Iterator[pd.DataFrame], *columns: str) -> Iterator[tuple[str, list[tuple]]]:
+    """The users of a group in one batch, each with its rows in order of arrival, as (seq, timestamp, transaction_id,
+    *columns).
 
     Plain tuples: most users have a handful of rows in a batch, where DataFrame operations cost more than
     the work itself.
     """
-    events = []
+    users = defaultdict(list)
     for chunk in rows:
-        seqs = (-1 if n is None or n != n else n for n in chunk["seq"].tolist())
-        ids = (i or "" for i in chunk["transaction_id"].tolist())
-        events.extend(zip(seqs, chunk["timestamp"].tolist(), ids, *(chunk[c].tolist() for c in columns)))
-    events.sort()
-    return events
+        events = zip(*(chunk[c].tolist() for c in ("seq", "timestamp", "transaction_id", *columns)))
+        for user, event in zip(chunk["user_id"].tolist(), events):
+            users[user].append(event)
+    for user, events in users.items():
+        events.sort()
+        yield user, events
 
 
 class Bursts(StatefulProcessor):
     """Counts a user's events within the window before each one.
 
     Every event drops what left the window by its own time, for good; an older event that arrives later, however late,
-    counts the newer ones that are there. The state is a summary, which blocks of time have how many events, and each
-    block's milliseconds with the events of each. A trigger reads and writes the summary and the blocks that something
-    arrives in or leaves in part; blocks that leave whole are only struck off. All of it goes when the user has not been
-    heard of for ``idle_ms``, if that is given.
+    counts the newer ones that are there. A user's entry has the milliseconds of the window with the events of each, as
+    long as these are ``INLINE`` at most. Beyond that it is a summary, which blocks of time have how many events, and the
+    milliseconds lie in an entry per block: a trigger reads and writes the summary and the blocks that something arrives in
+    or leaves in part; blocks that leave whole are only struck off. All of it goes when the user has not been heard of for
+    ``idle_ms``, if that is given.
     """
 
     BLOCKS = 64  # in a window
+    INLINE = 256  # milliseconds
 
     def __init__(self, window_ms: int, least: int, idle_ms: int):
         self._window = window_ms
@@ -57,22 +76,37 @@ class Bursts(StatefulProcessor):
         self._width = max(1, window_ms // self.BLOCKS)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._summary = handle.getValueState("summary", "blocks array<bigint>, counts array<bigint>", self._idle or None)
-        self._blocks = handle.getMapState(
-            "blocks", "block bigint", "times array<bigint>, arrivals array<bigint>", self._idle or None
+        events = "times array<bigint>, arrivals array<bigint>"
+        self._users = handle.getMapState(
+            "users", "user_id string", f"blocks array<bigint>, counts array<bigint>, {events}", self._idle or None
         )
+        self._blocks = handle.getMapState("blocks", "user_id string, block bigint", events, self._idle or None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = self._summary.get()
-        blocks = list(stored[0]) if stored else []  # ascending
-        counts = dict(zip(blocks, stored[1], strict=True)) if stored else {}
-        in_window = sum(counts.values())
+        found = []
+        for user, events in _arrivals(rows):
+            found.extend((user, at, count) for at, count in self._follow(user, [at for _, at, _ in events]))
+        if found:
+            yield pd.DataFrame(found, columns=["user_id", "timestamp", "transaction_count"])
+
+    def _follow(self, user: str, arriving: list[int]) -> list[tuple[int, int]]:
+        """Take up a user's events; the times at which enough are in the window, with their number."""
+        blocks, numbers, times, arrivals = self._users.getValue((user,)) or ([], [], [], [])
+        blocks = list(blocks)  # ascending
+        counts = dict(zip(blocks, numbers, strict=True))
+        apart = set(blocks)  # blocks with an entry of their own
         held: dict[int, dict[int, int]] = {}  # blocks that were read: events by millisecond
-        changed, found = set(), []
+        for time, number in zip(times, arrivals, strict=True):
+            block = time // self._width
+            held.setdefault(block, {})[time] = number
+            counts[block] = counts.get(block, 0) + number
+        blocks = blocks or sorted(held)
+        in_window = sum(counts.values())
+        changed, found = set(held), []
 
         def read(block: int) -> dict[int, int]:
             if block not in held:
-                row = self._blocks.getValue((block,)) if block in counts else None
+                row = self._blocks.getValue((user, block)) if block in counts else None
                 held[block] = dict(zip(row[0], row[1], strict=True)) if row else {}
             return held[block]
 
@@ -82,7 +116,7 @@ class Bursts(StatefulProcessor):
             held.pop(block, None)
             changed.add(block)
 
-        for _, at, _ in _arrivals(rows):
+        for at in arriving:
             left = at - self._window  # this millisecond and all before have left
             while blocks and blocks[0] * self._width + self._width - 1 <= left:
                 in_window -= counts[blocks[0]]
@@ -107,15 +141,23 @@ class Bursts(StatefulProcessor):
             changed.add(block)
             in_window += 1
             if in_window >= self._least:
-                found.append((key[0], at, in_window))
-        for block in changed:
-            if block in counts:
-                self._blocks.updateValue((block,), (list(held[block]), list(held[block].values())))
-            elif self._blocks.containsKey((block,)):
-                self._blocks.removeKey((block,))
-        self._summary.update((blocks, [counts[b] for b in blocks]))
-        if found:
-            yield pd.DataFrame(found, columns=["user_id", "timestamp", "transaction_count"])
+                found.append((at, in_window))
+        self._keep(user, blocks, counts, held, changed, apart)
+        return found
+
+    def _keep(self, user: str, blocks: list, counts: dict, held: dict, changed: set, apart: set) -> None:
+        if all(b in held for b in blocks) and sum(len(held[b]) for b in blocks) <= self.INLINE:
+            events = [event for b in blocks for event in held[b].items()]
+            self._users.updateValue((user,), ([], [], [at for at, _ in events], [n for _, n in events]))
+            gone = apart
+        else:
+            for block in changed & counts.keys():
+                self._blocks.updateValue((user, block), (list(held[block]), list(held[block].values())))
+            self._users.updateValue((user,), (blocks, [counts[b] for b in blocks], [], []))
+            gone = apart - counts.keys()
+        for block in gone:
+            if self._blocks.containsKey((user, block)):
+                self._blocks.removeKey((user, block))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield from ()
@@ -132,23 +174,25 @@ class Growth(StatefulProcessor):
         self._factor = factor
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._run = handle.getListState("run", "amount double")
+        self._runs = handle.getMapState("runs", "user_id string", "amounts array<double>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        run = [row[0] for row in self._run.get()]
         found = []
-        for _, at, transaction_id, amount in _arrivals(rows, "amount"):
-            if run and amount >= run[-1] * self._factor:
-                run.append(amount)
-            else:
-                run = [amount]
-            if len(run) == self._length:
-                found.append((key[0], transaction_id, at, amount, run))
-                run = []
-        if run:
-            self._run.put([(amount,) for amount in run])
-        else:
-            self._run.clear()
+        for user, events in _arrivals(rows, "amount"):
+            stored = self._runs.getValue((user,))
+            run = list(stored[0]) if stored else []
+            for _, at, transaction_id, amount in events:
+                if run and amount >= run[-1] * self._factor:
+                    run.append(amount)
+                else:
+                    run = [amount]
+                if len(run) == self._length:
+                    found.append((user, transaction_id, at, amount, run))
+                    run = []
+            if run:
+                self._runs.updateValue((user,), (run,))
+            elif stored:
+                self._runs.removeKey((user,))
         if found:
             names = ["user_id", "transaction_id", "timestamp", "amount", "amounts"]
             yield pd.DataFrame(found, columns=names)
@@ -164,16 +208,11 @@ def stream_high_frequency(events: DataFrame, settings: RiskSettings = DEFAULTS)
     """Streaming form of ``high_frequency``. Late events count as well, whatever the watermark; a user's state is
     forgotten after ``burst_idle_ms`` without an event, by the clock of the cluster, or kept if that is 0. A query that
     forgets by the clock never runs out of work, so one that is to end when its input does needs 0."""
-    bursts = (
-        events.where("user_id IS NOT NULL")
-        .select("user_id", *EVENT_ORDER)
-        .groupBy("user_id")
-        .transformWithStateInPandas(
-            statefulProcessor=Bursts(settings.burst_window_ms, settings.burst_count, settings.burst_idle_ms),
-            outputStructType="user_id string, timestamp bigint, transaction_count bigint",
-            outputMode="append",
-            timeMode="processingTime" if settings.burst_idle_ms else "none",
-        )
+    bursts = _by_bucket(events).transformWithStateInPandas(
+        statefulProcessor=Bursts(settings.burst_window_ms, settings.burst_count, settings.burst_idle_ms),
+        outputStructType="user_id string, timestamp bigint, transaction_count bigint",
+        outputMode="append",
+        timeMode="processingTime" if settings.burst_idle_ms else "none",
     )
     return burst_alerts(bursts, settings)
 
@@ -181,17 +220,10 @@ def stream_high_frequency(events: DataFrame, settings: RiskSettings = DEFAULTS)
 def stream_continuous_increase(events: DataFrame, settings: RiskSettings = DEFAULTS) -> DataFrame:
     """Streaming form of ``continuous_increase``. Nothing is too late for it, and there is no time limit
     between the events of a run."""
-    runs = (
-        events.where("user_id IS NOT NULL")
-        .select("user_id", *EVENT_ORDER, "amount")
-        .groupBy("user_id")
-        .transformWithStateInPandas(
-            statefulProcessor=Growth(settings.growth_length, settings.growth_factor),
-            outputStructType=(
-                "user_id string, transaction_id string, timestamp bigint, amount double, amounts array<double>"
-            ),
-            outputMode="append",
-            timeMode="none",
-        )
+    runs = _by_bucket(events, "amount").transformWithStateInPandas(
+        statefulProcessor=Growth(settings.growth_length, settings.growth_factor),
+        outputStructType="user_id string, transaction_id string, timestamp bigint, amount double, amounts array<double>",
+        outputMode="append",
+        timeMode="none",
     )
     return growth_alerts(runs, settings)
