@@ -33,7 +33,7 @@ from tidewatch.sinks.tables import (
     write_batches,
 )
 from tidewatch.sources import star
-from tidewatch.sources.files import replay_arrivals, write_arrivals
+from tidewatch.sources.files import arrival_files, replay_arrivals, write_arrivals
 from tidewatch.sources.tables import RefreshedTable
 from tidewatch.streaming.facts import read_facts, start_fact_load
 from tidewatch.streaming.jobs import RESULTS, enriching, start, start_results, watermarked
@@ -861,30 +861,41 @@ def arrived_events(spark: SparkSession, folder: str, late: bool = False) -> Data
     return events.withColumn("arrival", F.least(F.lit(ARRIVALS - 1), third + late_by))
 
 
-def replay(spark: SparkSession, folder: str, name: str, settings: RiskSettings, late: bool = False) -> DataFrame:
-    """Run one streaming result over all events there are, a trigger per arrival, and read what it wrote."""
-    result = RESULTS[name]
-    out = new_folder(spark, f"replay-{name}")
+def event_files(spark: SparkSession, folder: str) -> int:
+    """The files of an arrival, by the number of events."""
+    return arrival_files(spark.read.parquet(f"{folder}/events.parquet").count(), ARRIVALS)
+
+
+def replays(
+    spark: SparkSession, folder: str, names: tuple[str, ...], settings: RiskSettings, late: bool = False
+) -> list[DataFrame]:
+    """Run streaming results side by side over all events there are, put down once, a trigger per arrival, and read what
+    each wrote."""
+    out = new_folder(spark, f"replay-{names[0]}")
     # State keeps its number of partitions for good, so it is set for the cluster and not left to a default.
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     try:
-        write_arrivals(arrived_events(spark, folder, late), "arrival", f"{out}/in", range(ARRIVALS))
-        events = watermarked(replay_arrivals(spark, f"{out}/in", S.EVENT_SCHEMA), settings)
-        start(
-            result.build(events, settings),
-            write_batches(f"{out}/rows", "replay"),
-            f"{out}/checkpoint",
-            result.output_mode,
-            {"availableNow": True},
-        ).awaitTermination()
+        files = event_files(spark, folder)
+        write_arrivals(arrived_events(spark, folder, late), "arrival", f"{out}/in", range(ARRIVALS), files)
+        started = []
+        for name in names:
+            events = watermarked(replay_arrivals(spark, f"{out}/in", S.EVENT_SCHEMA, files), settings)
+            result, to = RESULTS[name], f"{out}/{name}"
+            write = write_batches(f"{to}/rows", "replay")
+            checkpoint = f"{to}/checkpoint"
+            started.append(
+                start(result.build(events, settings), write, checkpoint, result.output_mode, {"availableNow": True})
+            )
+        for query in started:
+            query.awaitTermination()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    return spark.read.parquet(f"{out}/rows").drop("run")
+    return [spark.read.parquet(f"{out}/{name}/rows").drop("run") for name in names]
 
 
 def replayed(spark: SparkSession, folder: str, name: str, settings: RiskSettings, late: bool = False) -> DataFrame:
-    return replay(spark, folder, name, settings, late).drop("batch_id")
+    return replays(spark, folder, (name,), settings, late)[0].drop("batch_id")
 
 
 @register("stream_large_amount", f"WITH {EV} {LARGE_SQL.format(source='ev', limit='200.0')}")
@@ -927,17 +938,15 @@ WHERE epoch_ms(w + 3600000) <= {CLOSED}""",
 )
 def stream_ip_sharing_members_query(spark, folder):
     """The users behind the alerts, from what two streams have stored."""
-    users = replayed(spark, folder, "ip_sharing_users", SAMPLE).selectExpr(
-        "window.start AS window_start", "window.end AS window_end", "ip_address", "user_id"
-    )
-    alerts = replayed(spark, folder, "ip_sharing", SAMPLE)
+    users, alerts = replays(spark, folder, ("ip_sharing_users", "ip_sharing"), SAMPLE)
+    users = users.selectExpr("window.start AS window_start", "window.end AS window_end", "ip_address", "user_id")
     return users.join(alerts, ["window_start", "window_end", "ip_address"], "left_semi")
 
 
 @register("stream_running_totals", f"WITH {EV} SELECT {TOTALS} FROM ev")
 def stream_running_totals_query(spark, folder):
     """The total that the last trigger gave."""
-    totals = replay(spark, folder, "running_totals", SAMPLE)
+    totals = replays(spark, folder, ("running_totals",), SAMPLE)[0]
     return totals.agg(*[F.max_by(c, "batch_id").alias(c) for c in ("total_amount", "transaction_count")])
 
 
@@ -997,12 +1006,13 @@ def stream_risk_alerts_query(spark, folder):
     out = new_folder(spark, "alerts")
     names = ("large_amount", "high_frequency", "continuous_increase", "failed_surge", "ip_sharing")
     rows = arrived_events(spark, folder)
+    files = event_files(spark, folder)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     try:
         for numbers in (range(ARRIVALS - 1), range(ARRIVALS - 1, ARRIVALS)):
-            write_arrivals(rows, "arrival", f"{out}/in", numbers)
-            events = replay_arrivals(spark, f"{out}/in", S.EVENT_SCHEMA)
+            write_arrivals(rows, "arrival", f"{out}/in", numbers, files)
+            events = replay_arrivals(spark, f"{out}/in", S.EVENT_SCHEMA, files)
             for query in start_results(events, out, names=names, settings=SAMPLE, trigger={"availableNow": True}).values():
                 query.awaitTermination()
             compact_alerts(spark, f"{out}/alerts", clear=True)
@@ -1019,8 +1029,9 @@ WHERE window_end <= {CLOSED} ORDER BY window_start DESC, window_end, category, t
 def stream_stats_history_query(spark, folder):
     """The newest windows of the statistics that two streams have stored, read from the newest days."""
     path = new_folder(spark, "stats")
-    for name in ("window_totals", "category_totals"):
-        upsert_stats(path, name)(replayed(spark, folder, name, SAMPLE), 0)
+    names = ("window_totals", "category_totals")
+    for name, rows in zip(names, replays(spark, folder, names, SAMPLE), strict=True):
+        upsert_stats(path, name)(rows, 0)
     return reports.stats_history(read_newest_stats(spark, path, 200))
 
 

@@ -34,6 +34,15 @@ def replay_table(
     return reader.parquet(folder)
 
 
+FILE_ROWS = 100_000  # of an arrival that go to one file, about
+
+
+def arrival_files(rows: int, arrivals: int) -> int:
+    """The files to put each of so many arrivals of ``rows`` rows down in: tasks that write and read them have about
+    ``FILE_ROWS`` rows, so that more rows go to more tasks."""
+    return max(4, -(-rows // (arrivals * FILE_ROWS)))
+
+
 def write_arrivals(rows: DataFrame, arrival: str, path: str, numbers: range, files: int = 4) -> None:
     """Put ``rows`` down in the order they arrive: those of each number of the column ``arrival`` in a folder of
     ``files`` files, one folder after the other."""
