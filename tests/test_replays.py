@@ -57,3 +57,9 @@ def test_larger_input_goes_to_more_files(spark, folder, written, monkeypatch):
     monkeypatch.setattr("tidewatch.sources.files.FILE_ROWS", 10)
     totals = queries.REGISTRY["stream_running_totals"].run(spark, folder).first()
     assert {files for _, files in written} == {10} and totals.transaction_count == 300
+
+
+def test_state_rows_are_not_counted(spark, folder):
+    """Which would be a lookup more for every row written."""
+    queries.REGISTRY["stream_running_totals"].run(spark, folder)
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows") == "false"
