@@ -35,23 +35,26 @@ def replay_table(
 
 
 FILE_ROWS = 100_000  # of an arrival that go to one file, about
+FEW_FILES = 4  # of an arrival, at least
 
 
 def arrival_files(rows: int, arrivals: int) -> int:
     """The files to put each of so many arrivals of ``rows`` rows down in: tasks that write and read them have about
     ``FILE_ROWS`` rows, so that more rows go to more tasks."""
-    return max(4, -(-rows // (arrivals * FILE_ROWS)))
+    return max(FEW_FILES, -(-rows // (arrivals * FILE_ROWS)))
 
 
-def write_arrivals(rows: DataFrame, arrival: str, path: str, numbers: range, files: int = 4) -> None:
+def write_arrivals(rows: DataFrame, arrival: str, path: str, numbers: range, files: int = FEW_FILES) -> None:
     """Put ``rows`` down in the order they arrive: those of each number of the column ``arrival`` in a folder of
     ``files`` files, one folder after the other."""
     for number in numbers:
-        some = rows.where(F.col(arrival) == number).drop(arrival).repartition(files)
+        some = rows.where(F.col(arrival) == number).drop(arrival)
+        # Dealing rows out in turn leaves no file empty, but sorts them first. Where there are many, their hash does.
+        some = some.repartition(files) if files <= FEW_FILES else some.repartition(files, *some.columns)
         some.write.mode("overwrite").parquet(f"{path}/arrival-{number}")
 
 
-def replay_arrivals(spark: SparkSession, path: str, schema: T.StructType, files: int = 4) -> DataFrame:
+def replay_arrivals(spark: SparkSession, path: str, schema: T.StructType, files: int = FEW_FILES) -> DataFrame:
     """The stream of what ``write_arrivals`` has put down, a number per trigger. Numbers need so many rows that none of
     their files is empty."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
