@@ -38,18 +38,26 @@ def insert_ignore(rows: DataFrame, existing: DataFrame, spec: TableSpec, order:
 
 
 def check_references(
-    facts: DataFrame, users: DataFrame, products: DataFrame, categories: DataFrame
+    facts: DataFrame,
+    users: DataFrame,
+    products: DataFrame,
+    categories: DataFrame,
+    ways: tuple[str | None, str | None, str | None] = (None, None, None),
 ) -> DataFrame:
     """Facts with a ``reason`` where a required column is null or a reference leads nowhere.
 
-    The distinct keys of each dimension are joined; how is left to their measured size.
+    The distinct keys of each dimension are joined; how is left to their measured size, or said by a hint in ``ways`` for
+    each where nothing is measured, as in streams.
     """
     dimensions = {"users": users, "products": products, "categories": categories}
+    hints = dict(zip(dimensions, ways, strict=True))
     reasons = [F.when(F.col(n).isNull(), F.lit(f"{n} is null")) for n in TRANSACTIONS.required]
     checked = facts.withColumn("reason", F.coalesce(*reasons))
     for reference in TRANSACTIONS.foreign_keys:
         keys = dimensions[reference.table].select(reference.column).distinct()
-        checked = checked.join(keys.withColumn("known", F.lit(True)), reference.column, "left")
+        keys = keys.withColumn("known", F.lit(True))
+        way = hints[reference.table]
+        checked = checked.join(keys.hint(way) if way else keys, reference.column, "left")
         lost = F.col(reference.column).isNotNull() & F.col("known").isNull()
         missing = F.when(lost, F.lit(f"no such {reference.column}"))
         checked = checked.withColumn("reason", F.coalesce("reason", missing)).drop("known")
