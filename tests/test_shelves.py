@@ -1,6 +1,7 @@
 """State of the stateful detectors by shelves of users, and arrivals in many files."""
 
 import glob
+import random
 
 import pyarrow.parquet as pq
 import pytest
@@ -69,3 +70,24 @@ def test_arrivals_in_many_files_keep_every_row(spark, tmp_path):
         files = [pq.read_table(f).num_rows for f in glob.glob(f"{tmp_path}/arrival-{number}/*.parquet")]
         assert len(files) == 6 and min(files) > 0 and sum(files) == 1000
     assert spark.read.parquet(f"{tmp_path}/arrival-*").distinct().count() == 3000
+
+
+def test_few_events_and_blocks_count_alike():
+    """Users who stay on the shelf whatever leaves are followed by a shorter way."""
+    random.seed(1)
+    for inline in (4, 30, 256) * 10:
+        window, least = random.choice([5, 50, 640, 5000]), random.choice([1, 2, 3])
+        few, blocks = Bursts(window, least, 0), Bursts(window, least, 0)
+        few.INLINE, blocks.INLINE, ways = inline, 0, []
+        short = few._follow_few
+        few._follow_few = lambda *events, short=short, ways=ways: (ways.append(1), short(*events))[1]
+        for processor in (few, blocks):
+            processor.init(Handle())
+        clock = seq = 0
+        for _ in range(15):
+            batch = []
+            for _ in range(random.choice([1, 4, 20])):
+                clock, seq = clock + random.choice([0, 1, 7, 60, 900]), seq + 1
+                batch.append((random.choice("ab"), clock - random.choice([0, 0, 0, 30, 700, 5000]), seq, 1.0))
+            assert sorted(trigger(few, batch)) == sorted(trigger(blocks, batch))
+        assert ways or inline < 30

@@ -104,7 +104,11 @@ class Bursts(StatefulProcessor):
             for user, events in users:
                 _, times, arrivals = held.get(user, (now, [], []))
                 apart = user in held and not times
-                bursts, times, arrivals = self._follow(user, [at for _, at in events], times, arrivals, apart)
+                arriving = [at for _, at in events]
+                if not apart and len(times) + len(arriving) <= self.INLINE:
+                    bursts, times, arrivals = self._follow_few(arriving, times, arrivals)
+                else:
+                    bursts, times, arrivals = self._follow(user, arriving, times, arrivals, apart)
                 found.extend((user, at, count) for at, count in bursts)
                 held[user] = now, times, arrivals
             self._put(shelf, held)
@@ -123,6 +127,25 @@ class Bursts(StatefulProcessor):
         sizes = [len(events) for events in times]
         self._shelves.updateValue((shelf,), (list(held), list(heard), sizes, list(chain(*times)), list(chain(*arrivals))))
 
+    def _follow_few(
+        self, arriving: list[int], times: list[int], arrivals: list[int]
+    ) -> tuple[list[tuple[int, int]], list[int], list[int]]:
+        """The same as ``_follow`` for a user whose milliseconds stay on the shelf whatever leaves."""
+        counts = dict(zip(times, arrivals, strict=True))
+        times, first, in_window, found = sorted(counts), 0, sum(arrivals), []
+        for at in arriving:
+            while first < len(times) and times[first] <= at - self._window:
+                in_window -= counts.pop(times[first])
+                first += 1
+            if at not in counts:
+                insort(times, at, first)
+            counts[at] = counts.get(at, 0) + 1
+            in_window += 1
+            if in_window >= self._least:
+                found.append((at, in_window))
+        times = times[first:]
+        return found, times, [counts[at] for at in times]
+
     def _follow(
         self, user: str, arriving: list[int], times: list[int], arrivals: list[int], apart: bool
     ) -> tuple[list[tuple[int, int]], list[int], list[int]]:
